@@ -55,7 +55,7 @@ def run_logs(spark, sf_dir):
     entries = fixture(spark, sf_dir, "log_entries")
     fields = ["step", "epoch", "loss", "num_tokens", "eval_loss"]
     fields += ["eval_mean_token_accuracy", "eval_runtime"]
-    log = F.array_sort(F.collect_list(F.struct("sort_key", *fields)))
+    log = F.sort_array(F.collect_list(F.struct("sort_key", *fields)))
     without_key = F.transform(log, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
     return entries.groupBy("run_id").agg(
         F.max("step").alias("global_step"),

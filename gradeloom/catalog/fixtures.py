@@ -6,6 +6,8 @@ derived rows per given row, so that the work grows with the data. ``{name}``
 stands for a given table and ``@models@`` for a row per model name.
 """
 
+from gradeloom.sources.readers import read_table
+
 # Six labels in turn.
 _LABEL = """CASE {n} % 6 WHEN 0 THEN 'SCHEMA_ERROR' WHEN 1 THEN 'AUTH_ERROR'
  WHEN 2 THEN 'TIMEOUT_ERROR' WHEN 3 THEN 'QUOTA_ERROR'
@@ -186,7 +188,7 @@ _TABLES = ["events", "conversations"]
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark, sf_dir, name):

@@ -18,27 +18,23 @@ _RAW = (
 
 
 def _remove_first(text, piece):
-    at = F.instr(text, piece)
-    return F.when(
-        at > 0,
-        F.concat(
-            F.substring(text, F.lit(1), at - 1),
-            F.substring(text, at + F.lit(len(piece)), F.length(text)),
-        ),
-    ).otherwise(text)
+    return F.regexp_replace(text, f"(?s)^(.*?){piece}", "$1")
 
 
-def strip_fence(text):
-    """Drop the opening code fence, if the answer starts with one.
+def unfence(body):
+    """Drop the opening code fence of a text without outer whitespace.
 
     The first json fence goes and then the first fence that is left, which is the
     closing one unless the fence named no language.
     """
-    body = strip(text)
     opened = _remove_first(_remove_first(body, C.CODE_FENCE + "json"), C.CODE_FENCE)
     return F.when(body.startswith(C.CODE_FENCE), strip(opened)).otherwise(body)
 
 
+def strip_fence(text):
+    return unfence(strip(text))
+
+
 def wrap(text):
     """The answer as one value inside an object, with a marker after it.
 

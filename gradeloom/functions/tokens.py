@@ -21,18 +21,15 @@ def last_marker_end(ids, marker):
 
     ``marker`` is a list of columns: the ids (or tokens) of the assistant marker.
     """
-    size = len(marker)
-
-    def begins(at):
-        return reduce(
-            lambda a, b: a & b,
-            [F.get(ids, at + F.lit(k)) == part for k, part in enumerate(marker)],
-        )
-
-    last = F.size(ids) - F.lit(size)
-    starts = F.filter(F.sequence(F.lit(0), last), begins)
-    found = F.when(last >= 0, F.try_element_at(starts, F.lit(-1)))
-    return found + F.lit(size)
+
+    def place(value, at):
+        following = [
+            F.get(ids, at + F.lit(k)) == part for k, part in enumerate(marker) if k
+        ]
+        begins = reduce(lambda a, b: a & b, [value == marker[0], *following])
+        return F.when(begins, at + F.lit(len(marker)))
+
+    return F.array_max(F.transform(ids, place))
 
 
 def mask_labels(ids, start, stop=None):

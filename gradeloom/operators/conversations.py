@@ -37,7 +37,7 @@ def conversation_parts(turns, part_turns=PART_TURNS, neighbours=False):
     return (
         turns.withColumn("part", part)
         .groupBy("conv_id", "part")
-        .agg(F.array_sort(F.collect_list(message)).alias("messages"))
+        .agg(F.sort_array(F.collect_list(message)).alias("messages"))
     )
 
 

@@ -3,12 +3,14 @@
 from pyspark.sql import functions as F
 
 from gradeloom.functions import judge
+from gradeloom.functions.text import strip
 
 
 def parse_judge(df, response="judge_response"):
     """Add ``judge_result``, null unless the answer is valid as a whole."""
     return (
-        df.withColumn("_answer", judge.strip_fence(F.col(response)))
+        df.withColumn("_body", strip(F.col(response)))
+        .withColumn("_answer", judge.unfence(F.col("_body")))
         .withColumn("_wrapped", judge.wrap(F.col("_answer")))
         .withColumn("_parsed", judge.read_wrapped(F.col("_wrapped")))
         .withColumn(
@@ -19,7 +21,7 @@ def parse_judge(df, response="judge_response"):
             ),
         )
         .withColumn("judge_result", judge.validated(F.col("_fields")))
-        .drop("_answer", "_wrapped", "_parsed", "_fields")
+        .drop("_body", "_answer", "_wrapped", "_parsed", "_fields")
     )
 
 

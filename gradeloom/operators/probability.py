@@ -18,7 +18,7 @@ def add_probabilities(df, logits="logits"):
 
 def top_k(df, key, k=C.TOP_K, probabilities="probabilities"):
     """``(key, rank, candidate_id, probability)``; equal ones by candidate id."""
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.transform(
             probabilities,
             lambda p, at: F.struct((-p).alias("negated"), at.alias("candidate_id")),

@@ -42,6 +42,16 @@ def lookup_size(vocabulary, max_tokens=LOOKUP_TOKENS, max_bytes=LOOKUP_BYTES):
     return 0, row["total"]
 
 
+def once(value):
+    """The same value, as the output of a one-row generator.
+
+    A later filter on something made from the value stays above the generator.
+    Pushed below it, the filter would work the whole value out again, for each
+    place where the value is named.
+    """
+    return F.explode(F.array(value))
+
+
 def _lookup_by_token(vocabulary, size):
     """One row: the ``size`` lowest ids as an array of small maps, by token hash."""
     buckets = max(1, size // 4)
@@ -56,7 +66,7 @@ def _lookup_by_token(vocabulary, size):
     )
     entry = F.struct("bucket", F.coalesce("entries", F.array()).alias("entries"))
     packed = every.join(filled, "bucket", "left").agg(
-        F.array_sort(F.collect_list(entry)).alias("packed")
+        F.sort_array(F.collect_list(entry)).alias("packed")
     )
     maps = F.transform("packed", lambda b: F.map_from_entries(b["entries"]))
     lookup = packed.select(maps.alias("lookup"))
@@ -71,7 +81,7 @@ def _lookup_by_token(vocabulary, size):
 def _lookup_by_id(vocabulary, size):
     """One row: the tokens of the ``size`` lowest ids in the order of their ids."""
     packed = vocabulary.where(F.col("id") < size).agg(
-        F.array_sort(F.collect_list(F.struct("id", "token")))["token"].alias("lookup")
+        F.sort_array(F.collect_list(F.struct("id", "token")))["token"].alias("lookup")
     )
     return packed, F.get
 
@@ -90,25 +100,36 @@ def _replace_items(df, key, items, name, lookup, find, table, on, value, missing
 
     if table is None:
         replaced = F.transform(items, lambda item: F.coalesce(found(item), missing))
-        return bound.withColumn(name, replaced).drop("_lookup")
-    pairs = F.transform(
-        items, lambda x: F.struct(x.alias("item"), found(x).alias("hit"))
+        rows = bound.withColumn("_replaced", replaced).drop("_lookup")
+        return rows.withColumn(name, once("_replaced")).drop("_replaced")
+    # Rows keep what the lookup found; only the tokens it lacks are joined. They
+    # are the rare ones, so no key of this join is hot. Both halves come with
+    # their places and are merged in order.
+    places = F.transform(
+        items, lambda x, at: F.struct(at.alias("at"), found(x).alias("hit"))
     )
-    flat = bound.select(key, F.posexplode(pairs).alias("pos", "pair")).select(
-        key, "pos", "pair.item", "pair.hit"
+    lacking = F.transform(
+        items,
+        lambda x, at: F.when(
+            found(x).isNull(), F.struct(at.alias("at"), x.alias("item"))
+        ),
     )
     joined = (
-        flat.where("hit IS NULL")
-        .join(table.select(F.col(on).alias("item"), value), "item", "left")
-        .select(key, "pos", F.coalesce(value, missing).alias("hit"))
-    )
-    found = flat.where("hit IS NOT NULL").select(key, "pos", "hit").union(joined)
-    arrays = found.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "hit")))["hit"].alias(name)
+        bound.select(key, F.explode(F.array_compact(lacking)).alias("lack"))
+        .select(key, "lack.at", "lack.item")
+        .join(table.select(F.col(on).alias("item"), F.col(value)), "item", "left")
+        .groupBy(key)
+        .agg(
+            F.collect_list(
+                F.struct("at", F.coalesce(value, missing).alias("hit"))
+            ).alias("_joined")
+        )
     )
-    whole = df.join(arrays, key, "left")
-    empty = F.when(F.col(items).isNotNull(), F.array())
-    return whole.withColumn(name, F.coalesce(name, empty))
+    hits = bound.withColumn("_places", places).drop("_lookup").join(joined, key, "left")
+    known = F.filter("_places", lambda place: place["hit"].isNotNull())
+    merged = F.sort_array(F.concat(known, F.coalesce("_joined", F.array())))
+    rows = hits.withColumn("_replaced", merged["hit"]).drop("_places", "_joined")
+    return rows.withColumn(name, once("_replaced")).drop("_replaced")
 
 
 def encode(df, vocabulary, key, tokens="tokens", name="ids", max_tokens=LOOKUP_TOKENS):

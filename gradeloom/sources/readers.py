@@ -25,6 +25,21 @@ RUN_LOG_FILE = (
 )
 
 
+def spread(df):
+    """Rows over all cores when a scan has fewer tasks than there are cores.
+
+    A small table is one file with one row group and so one task, however much
+    work each row is. A large table has more tasks than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_table(spark, path):
+    """A Parquet table, spread over all cores."""
+    return spread(spark.read.parquet(path))
+
+
 def read_examples(spark, path, multi_line=False):
     """Training examples: ``(example_id, instruction, input, output_raw, output)``.
 
