@@ -135,7 +135,7 @@ FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS total FROM ({_LETTERS}) AS
 def embed(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = inference.embed(documents, "text", letter_profile())
-    flat = vectors.select("doc_id", F.posexplode("embedding").alias("place", "share"))
+    flat = vectors.select("doc_id", F.posexplode_outer("embedding").alias("place", "share"))
     return flat.select("doc_id", "place", F.round(F.col("share"), 5).alias("share"))
 
 

@@ -287,7 +287,7 @@ softmax AS (SELECT *, w / sum(w) OVER (PARTITION BY vec_id) AS probability FROM
 def softmax(spark, sf_dir):
     rows = probability.add_probabilities(logits(spark, sf_dir))
     flat = rows.select(
-        "vec_id", F.posexplode("probabilities").alias("candidate_id", "probability")
+        "vec_id", F.posexplode_outer("probabilities").alias("candidate_id", "probability")
     )
     return flat.select(
         "vec_id",
@@ -300,7 +300,7 @@ def long_logits(spark, sf_dir):
     rows = logits(spark, sf_dir)
     return rows.select(
         F.col("vec_id").alias("group_id"),
-        F.posexplode("logits").alias("candidate_id", "logit"),
+        F.posexplode_outer("logits").alias("candidate_id", "logit"),
     )
 
 

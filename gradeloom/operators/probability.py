@@ -24,8 +24,9 @@ def top_k(df, key, k=C.TOP_K, probabilities="probabilities"):
             lambda p, at: F.struct((-p).alias("negated"), at.alias("candidate_id")),
         )
     )
-    best = df.select(key, F.posexplode(F.slice(ordered, 1, k)).alias("at", "entry"))
-    return best.select(
+    best = F.slice(ordered, 1, k)
+    rows = df.select(key, F.posexplode_outer(best).alias("at", "entry"))
+    return rows.where("at IS NOT NULL").select(
         key,
         (F.col("at") + 1).alias("rank"),
         F.col("entry.candidate_id"),

@@ -55,7 +55,8 @@ def validate_examples(examples):
 def validation_report(validated):
     """Number of examples per error; an empty report means the data passed."""
     return (
-        validated.select(F.explode("errors").alias("error"))
+        validated.select(F.explode_outer("errors").alias("error"))
+        .where("error IS NOT NULL")
         .groupBy("error")
         .agg(F.count("*").alias("examples"))
     )

@@ -19,8 +19,11 @@ UNKNOWN_TOKEN = "�"
 
 def build_vocabulary(df, tokens="tokens"):
     """``(token, id, count)`` of the tokens in an array column, ids from 0."""
+    # The plain explode would add a filter for empty arrays, push it below and
+    # there tokenize every text a second time.
     counts = (
-        df.select(F.explode(tokens).alias("token"))
+        df.select(F.explode_outer(tokens).alias("token"))
+        .where("token IS NOT NULL")
         .groupBy("token")
         .agg(F.count("*").alias("count"))
     )
@@ -89,17 +92,20 @@ def _lookup_by_id(vocabulary, size):
 def _replace_items(df, key, items, name, lookup, find, table, on, value, missing):
     """Replace every array item by what ``find`` gives and, failing that, by a join.
 
-    The lookup is a scalar subquery: one value, held once per task. The optimizer
-    puts it straight into the expression, so it never becomes part of a row.
+    The lookup is a scalar subquery, one value held once per task. The optimizer
+    puts it straight into the expression that reads it, provided the other
+    columns come from below a generator; merged with the step that makes the
+    items, it would instead be copied into every row.
     """
     missing = F.lit(missing)
-    bound = df.withColumn("_lookup", lookup.scalar())
+    apart = df.withColumn("_items", once(items)).drop(items)
+    bound = apart.withColumnRenamed("_items", items).withColumn("_lookup", lookup.scalar())
 
     def found(item):
         return find(F.col("_lookup"), item)
 
     if table is None:
-        replaced = F.transform(items, lambda item: F.coalesce(found(item), missing))
+        replaced = F.transform(items, lambda x: F.coalesce(found(x), missing))
         rows = bound.withColumn("_replaced", replaced).drop("_lookup")
         return rows.withColumn(name, once("_replaced")).drop("_replaced")
     # Rows keep what the lookup found; only the tokens it lacks are joined. They
@@ -115,7 +121,9 @@ def _replace_items(df, key, items, name, lookup, find, table, on, value, missing
         ),
     )
     joined = (
-        bound.select(key, F.explode(F.array_compact(lacking)).alias("lack"))
+        bound.select(key, F.array_compact(lacking).alias("lacking"))
+        .select(key, F.explode_outer("lacking").alias("lack"))
+        .where("lack IS NOT NULL")
         .select(key, "lack.at", "lack.item")
         .join(table.select(F.col(on).alias("item"), F.col(value)), "item", "left")
         .groupBy(key)
