@@ -98,7 +98,8 @@ def render_conversations(
 
     first = messages[0]
     opening = F.when(
-        first["turn"] == 0, chat.default_system_segment(first["role"])
+        (F.col("part") == 0) & (first["turn"] == 0),
+        chat.default_system_segment(first["role"]),
     ).otherwise(F.lit(""))
     body = F.array_join(F.transform(messages, any_message if tools else plain), "")
     if tools:
