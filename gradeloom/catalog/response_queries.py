@@ -8,6 +8,7 @@ from gradeloom.catalog.fixtures import MODELS, duckdb_ctes, fixture, table
 from gradeloom.catalog.registry import query
 from gradeloom.functions import extract, judge, text
 from gradeloom.operators import evaluation, judging, quality, responses, similarity
+from gradeloom.sources.staging import stage
 
 _ANALYSED = duckdb_ctes("responses")[:-1] + ",\n" + S.ANALYSED
 _SCORED = duckdb_ctes("responses", "eval_cases")[:-1] + ",\n" + S.ANALYSED[:-1] + ",\n" + S.SCORED
@@ -164,12 +165,17 @@ FROM (SELECT r.vec_id AS reference_id, c.vec_id AS candidate_id,
  ON c.label = r.label AND c.vec_id <> r.vec_id) AS pairs""",
 )
 def rank_candidates(spark, sf_dir):
-    """The first vector of each label is the reference for the others of it."""
+    """The first vector of each label is the reference for the others of it.
+
+    The references are written out: joined straight from their grouping, the
+    label would stay the partitioning and a hot label one task.
+    """
     vectors = table(spark, sf_dir, "embeddings")
-    references = vectors.groupBy("label").agg(
+    first = vectors.groupBy("label").agg(
         F.min("vec_id").alias("reference_id"),
         F.min_by("embedding", "vec_id").alias("reference"),
     )
+    references = stage(first, "references")
     pairs = vectors.join(references, "label").where("vec_id <> reference_id")
     pairs = similarity.add_cosine(pairs, "reference", "embedding").select(
         "reference_id",

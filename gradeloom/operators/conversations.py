@@ -111,18 +111,28 @@ def render_conversations(
     return parts.select("conv_id", "part", F.concat(opening, body).alias("rendered"))
 
 
-def label_turns(turns):
+def label_turns(turns, part_turns=PART_TURNS):
     """Add ``use``: the last assistant turn is the completion, the turns before it
-    the prompt, those after it neither (``after``); null without such a turn."""
+    the prompt, those after it neither (``after``); null without such a turn.
+
+    The answer's place is found per conversation and joined per part, so that a
+    very long conversation is never one key of the join.
+    """
     answer = F.max(F.when(F.col("role") == "assistant", F.col("turn")))
-    answers = turns.groupBy("conv_id").agg(answer.alias("answer_turn"))
+    answers = turns.groupBy("conv_id").agg(
+        answer.alias("answer_turn"), F.max("turn").alias("_last")
+    )
+    parts = F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / part_turns))
+    answers = answers.select("conv_id", "answer_turn", F.explode(parts).alias("_part"))
     turn, last = F.col("turn"), F.col("answer_turn")
     return (
-        turns.join(answers, "conv_id")
+        turns.withColumn("_part", F.floor(turn / part_turns))
+        .join(answers, ["conv_id", "_part"])
         .withColumn(
             "use",
-            F.when(turn < last, "prompt").when(turn == last, "completion")
+            F.when(turn < last, "prompt")
+            .when(turn == last, "completion")
             .when(turn > last, "after"),
         )
-        .drop("answer_turn")
+        .drop("answer_turn", "_part")
     )

@@ -1,8 +1,8 @@
 """Token probabilities from logits.
 
 Logits come as one array per position, which needs no shuffle at all, or in long
-form with one row per candidate. A long group may be large, so its largest logit
-and its total are aggregated and joined back instead of being taken in a window.
+form with one row per candidate. A long group may be too large for one task and
+is handled in slices of its candidate ids.
 """
 
 from pyspark.sql import Window, functions as F
@@ -10,6 +10,8 @@ from pyspark.sql import Window, functions as F
 from gradeloom import constants as C
 from gradeloom.functions.vectors import softmax
 
+SLICE_CANDIDATES = 1_000_000
+
 
 def add_probabilities(df, logits="logits"):
     """Add ``probabilities``, the softmax of a logit array."""
@@ -41,17 +43,56 @@ def target_nll(df, target="target_id", probabilities="probabilities"):
     ).withColumn("target_nll", -F.ln("target_probability"))
 
 
-def softmax_long(df, group="group_id", logit="logit"):
-    """Add ``probability`` to rows ``(group, candidate, logit)``."""
-    tops = df.groupBy(group).agg(F.max(logit).alias("_top"))
-    weighted = df.join(tops, group).withColumn(
-        "_weight", F.exp(F.col(logit) - F.col("_top"))
+def softmax_long(
+    df,
+    group="group_id",
+    candidate="candidate_id",
+    logit="logit",
+    slice_size=SLICE_CANDIDATES,
+):
+    """Add ``probability`` to rows ``(group, candidate, logit)``.
+
+    Each slice of a group's candidate ids is shifted and summed by itself. The
+    few slice totals of a group give the factor that turns a slice's weights into
+    probabilities of the whole group.
+    """
+    part = Window.partitionBy(group, "_slice")
+    weighted = (
+        df.withColumn("_slice", F.floor(F.col(candidate) / slice_size))
+        .withColumn("_top", F.max(logit).over(part))
+        .withColumn("_weight", F.exp(F.col(logit) - F.col("_top")))
+        .withColumn("_sum", F.sum("_weight").over(part))
+    )
+    slices = weighted.groupBy(group, "_slice").agg(
+        F.max("_top").alias("_top"), F.max("_sum").alias("_sum")
+    )
+    groups = slices.groupBy(group).agg(
+        F.max("_top").alias("_highest"),
+        F.collect_list(F.struct("_slice", "_top", "_sum")).alias("_parts"),
+    )
+
+    def shift(one):
+        return F.exp(one["_top"] - F.col("_highest"))
+
+    total = F.aggregate(
+        "_parts", F.lit(0.0), lambda acc, one: acc + one["_sum"] * shift(one)
+    )
+    factors = groups.withColumn("_total", total).select(
+        F.col(group),
+        F.inline(
+            F.transform(
+                "_parts",
+                lambda one: F.struct(
+                    one["_slice"].alias("_slice"),
+                    (shift(one) / F.col("_total")).alias("_factor"),
+                ),
+            )
+        ),
     )
-    totals = weighted.groupBy(group).agg(F.sum("_weight").alias("_total"))
     return (
-        weighted.join(totals, group)
-        .withColumn("probability", F.col("_weight") / F.col("_total"))
-        .drop("_top", "_weight", "_total")
+        weighted.join(factors, [group, "_slice"])
+        .withColumn("probability", F.col("_weight") * F.col("_factor"))
+        .drop("_slice", "_top", "_weight", "_sum", "_factor")
     )
 
 

@@ -91,10 +91,11 @@ def test_wrapped_calls(spark):
     assert head + got == rendered_by_hand([("assistant", "", CALLS[:1])])
 
 
-def test_label_turns(spark):
+@pytest.mark.parametrize("part_turns", [1, 2, 4096])
+def test_label_turns(spark, part_turns):
     _, df = turns(spark)
     uses = defaultdict(dict)
-    for row in conversations.label_turns(df).collect():
+    for row in conversations.label_turns(df, part_turns).collect():
         uses[row["conv_id"]][row["turn"]] = row["use"]
     assert uses[1] == dict.fromkeys(range(4), "prompt") | {4: "completion", 5: "after", 6: "after"}
     assert uses[4] == {0: "completion"}

@@ -118,11 +118,15 @@ def test_probabilities(spark):
     assert loss[1] == pytest.approx(math.log(2))
 
 
-def test_long_form_agrees(spark):
+@pytest.mark.parametrize("slice_size", [1, 2, 1000])
+def test_long_form_agrees(spark, slice_size):
     df = spark.createDataFrame([(n, x) for n, x in enumerate(LOGITS)], "group_id int, logits array<double>")
     wide = probability.top_k(probability.add_probabilities(df), "group_id", 2)
     flat = df.select("group_id", F.posexplode("logits").alias("candidate_id", "logit"))
-    long = probability.top_k_long(probability.softmax_long(flat), 2)
+    sliced = probability.softmax_long(flat, slice_size=slice_size)
+    totals = sliced.groupBy("group_id").agg(F.sum("probability").alias("p")).collect()
+    assert [r["p"] for r in totals] == pytest.approx([1.0] * len(LOGITS))
+    long = probability.top_k_long(sliced, 2)
     columns = ["group_id", "rank", "candidate_id"]
     assert sorted(wide.select(columns).collect()) == sorted(long.select(columns).collect())
 
