@@ -28,7 +28,7 @@ def rule_model(labels=None):
                 f"Recommended action: Look into it and rerun: {failure}"
             )
 
-        return lambda prompts: [answer(prompt) for prompt in prompts]
+        return lambda prompts, max_new_tokens: [answer(prompt) for prompt in prompts]
 
     return factory
 
@@ -52,7 +52,7 @@ def rule_judge():
                 + ', "explanation": "Graded by the digits of the text."}\n```'
             )
 
-        return lambda prompts: [answer(prompt) for prompt in prompts]
+        return lambda prompts, max_new_tokens: [answer(prompt) for prompt in prompts]
 
     return factory
 
@@ -116,7 +116,10 @@ def judge(spark, sf_dir):
     prompts = cases.select(
         "case_id", chat.render(messages, generation_prompt=True).alias("prompt")
     )
-    answered = inference.generate(prompts, "prompt", rule_judge(), "judge_response")
+    cap = C.MAX_NEW_TOKENS["judge"]
+    answered = inference.generate(
+        prompts, "prompt", rule_judge(), "judge_response", max_new_tokens=cap
+    )
     return answered.select("case_id", "judge_response")
 
 

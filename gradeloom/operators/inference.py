@@ -6,10 +6,15 @@ list of texts and gives back a list of the same length.
 
 import pyarrow as pa
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from gradeloom import constants as C
 
-def _apply(df, column, factory, name, field_type, arrow_type, batch_size):
-    schema = T.StructType(df.schema.fields + [T.StructField(name, field_type)])
+
+def apply_model(df, column, factory, name, result_type, batch_size=256):
+    """Add what a model makes of each text in ``column``, as ``result_type``."""
+    schema = T.StructType(df.schema.fields + [T.StructField(name, result_type)])
+    arrow_type = to_arrow_type(result_type)
 
     def run(batches):
         model = None
@@ -21,26 +26,42 @@ def _apply(df, column, factory, name, field_type, arrow_type, batch_size):
             for start in range(0, len(texts), batch_size):
                 answers += model(texts[start : start + batch_size])
             yield pa.RecordBatch.from_arrays(
-                batch.columns + [pa.array(answers, type=arrow_type())],
+                batch.columns + [pa.array(answers, type=arrow_type)],
                 names=batch.schema.names + [name],
             )
 
     return df.mapInArrow(run, schema)
 
 
-def generate(df, prompt, factory, name="response", batch_size=32):
-    """Add one generated text per prompt.
+def generate(
+    df,
+    prompt,
+    factory,
+    name="response",
+    max_new_tokens=C.MAX_NEW_TOKENS["quality"],
+    batch_size=32,
+):
+    """Add one generated text per prompt; the model also gets ``max_new_tokens``.
 
     Decoding is meant to be greedy, so that a task that runs again gives the same
     answers. Write the result out before several jobs read it (``stage``), or
     each of them generates anew.
     """
-    return _apply(df, prompt, factory, name, T.StringType(), pa.string, batch_size)
+
+    def limited():
+        model = factory()
+        return lambda texts: model(texts, max_new_tokens)
+
+    return apply_model(df, prompt, limited, name, T.StringType(), batch_size)
 
 
 def embed(df, text, factory, name="embedding", batch_size=256):
     """Add one vector per text."""
     vector = T.ArrayType(T.FloatType())
-    return _apply(
-        df, text, factory, name, vector, lambda: pa.list_(pa.float32()), batch_size
-    )
+    return apply_model(df, text, factory, name, vector, batch_size)
+
+
+def tokenize_with(df, text, factory, name="ids", batch_size=256):
+    """Add the ids that a tokenizer library gives each text."""
+    ids = T.ArrayType(T.IntegerType())
+    return apply_model(df, text, factory, name, ids, batch_size)

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from gradeloom import constants as C
 from gradeloom.functions import chat
 from gradeloom.operators import evaluation, inference, judging, quality, responses
 from gradeloom.sources.staging import stage
@@ -16,7 +17,9 @@ def answer_cases(cases, models):
         "case_id", "input", chat.render(messages, generation_prompt=True).alias("prompt")
     )
     answers = [
-        inference.generate(prompts, "prompt", factory).select(
+        inference.generate(
+            prompts, "prompt", factory, max_new_tokens=C.MAX_NEW_TOKENS["quality"]
+        ).select(
             "case_id", "input", F.lit(name).alias("model"), "response"
         )
         for name, factory in models.items()
@@ -37,7 +40,13 @@ def judge_cases(scored, judge_factory):
         "judge_prompt",
         chat.render(chat.judge_messages(prompt), generation_prompt=True),
     )
-    answered = inference.generate(asked, "judge_prompt", judge_factory, "judge_response")
+    answered = inference.generate(
+        asked,
+        "judge_prompt",
+        judge_factory,
+        "judge_response",
+        max_new_tokens=C.MAX_NEW_TOKENS["judge"],
+    )
     answered = stage(answered.drop("judge_prompt"), "judged")
     return judging.judge_scores(judging.parse_judge(answered))
 

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_LOCAL_FOLDERS = {}
 
 
 def staging_dir(spark):
@@ -13,9 +14,10 @@ def staging_dir(spark):
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="gradeloom-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="gradeloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def staging_path(spark, name):

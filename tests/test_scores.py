@@ -172,15 +172,17 @@ def test_models_load_once_per_task_and_see_batches(spark):
     def factory():
         calls = []
 
-        def model(texts):
+        def model(texts, max_new_tokens):
             calls.append(len(texts))
-            return [f"{t}:{len(calls)}" for t in texts]
+            return [f"{t}:{len(calls)}:{max_new_tokens}" for t in texts]
 
         return model
 
     df = spark.range(0, 10, 1, 1).select(F.col("id").cast("string").alias("t"))
     found = [r["response"] for r in inference.generate(df, "t", factory, batch_size=4).collect()]
-    assert found == [f"{n}:{n // 4 + 1}" for n in range(10)]
+    assert found == [f"{n}:{n // 4 + 1}:160" for n in range(10)]
+    ids = inference.tokenize_with(df, "t", lambda: lambda ts: [list(t.encode()) for t in ts])
+    assert [r["ids"] for r in ids.collect()] == [[48 + n] for n in range(10)]
     vectors_of = inference.embed(df, "t", lambda: lambda ts: [[float(t), 1.0] for t in ts])
     assert vectors_of.first()["embedding"] == [0.0, 1.0]
 

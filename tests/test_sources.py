@@ -58,6 +58,23 @@ def test_staged_tables_keep_rows_and_schema(spark):
     assert staged.inputFiles()[0].find(staging.staging_dir(spark).split(":")[-1]) >= 0
 
 
+def test_staging_folder(spark, monkeypatch):
+    """The session's folder comes first; only a local session may do without."""
+    named = spark.conf.get(staging.CHECKPOINT_SETTING, None)
+    if named:
+        assert staging.staging_dir(spark) == named.rstrip("/")
+    monkeypatch.setattr(staging, "CHECKPOINT_SETTING", "spark.gradeloom.unset")
+    own = staging.staging_dir(spark)
+    assert own == staging.staging_dir(spark) != named
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: {"spark.master": "yarn"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.gradeloom.unset"):
+        staging.staging_dir(Cluster)
+
+
 def test_spread(spark):
     small = readers.spread(spark.range(10).coalesce(1))
     assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
