@@ -120,16 +120,17 @@ def _replace_items(df, key, items, name, lookup, find, table, on, value, missing
             found(x).isNull(), F.struct(at.alias("at"), x.alias("item"))
         ),
     )
+    rest = table.select(F.col(on).alias("_item"), F.col(value).alias("_value"))
     joined = (
-        bound.select(key, F.array_compact(lacking).alias("lacking"))
-        .select(key, F.explode_outer("lacking").alias("lack"))
-        .where("lack IS NOT NULL")
-        .select(key, "lack.at", "lack.item")
-        .join(table.select(F.col(on).alias("item"), F.col(value)), "item", "left")
+        bound.select(key, F.array_compact(lacking).alias("_lacking"))
+        .select(key, F.explode_outer("_lacking").alias("_lack"))
+        .where("_lack IS NOT NULL")
+        .select(key, F.col("_lack.at").alias("_at"), F.col("_lack.item").alias("_item"))
+        .join(rest, "_item", "left")
         .groupBy(key)
         .agg(
             F.collect_list(
-                F.struct("at", F.coalesce(value, missing).alias("hit"))
+                F.struct(F.col("_at").alias("at"), F.coalesce("_value", missing).alias("hit"))
             ).alias("_joined")
         )
     )
