@@ -3,7 +3,8 @@
 The given data has no failure messages, model responses or run logs, so these
 are put together from the rows of ``events`` and ``conversations``: one or more
 derived rows per given row, so that the work grows with the data. ``{name}``
-stands for a given table and ``@models@`` for a row per model name.
+stands for a given table, ``@models@`` for a row per model name and ``@kinds@``
+for a row per log entry.
 """
 
 from gradeloom.sources.readers import read_table
@@ -148,21 +149,17 @@ EXAMPLE_LINES = """SELECT event_id AS example_id,
  event_id % 9 AS fault, event_type
 FROM {events}"""
 
-# Log entries of training runs of fifty events each: a step per event, ten steps
-# to an epoch, an evaluation after each epoch.
-LOG_ENTRIES = """SELECT run_id, step, step / 10.0 AS epoch, kind, sort_key,
+# Log entries of training runs of fifty events each: a training entry per event,
+# ten steps to an epoch, and an evaluation entry after each epoch.
+LOG_ENTRIES = """SELECT run_id, step, step / 10.0 AS epoch, kind,
+ step * 2 + CASE WHEN kind = 'eval' THEN 1 ELSE 0 END AS sort_key,
  CASE WHEN kind = 'train' THEN value + 1 END AS loss,
  CASE WHEN kind = 'train' THEN step * 100.0 END AS num_tokens,
  CASE WHEN kind = 'eval' THEN value / 2 + 1 END AS eval_loss,
  CASE WHEN kind = 'eval' THEN 1 / (value + 1) END AS eval_mean_token_accuracy,
  CASE WHEN kind = 'eval' THEN CAST(user_id % 4 AS DOUBLE) / 8 END AS eval_runtime
-FROM (
- SELECT run_id, step, CAST(value AS DOUBLE) AS value, user_id, 'train' AS kind, step * 2 AS sort_key
- FROM (SELECT CAST(floor(event_id / 50) AS BIGINT) AS run_id, event_id % 50 + 1 AS step, value, user_id FROM {events}) AS a
- UNION ALL
- SELECT run_id, step, CAST(value AS DOUBLE) AS value, user_id, 'eval' AS kind, step * 2 + 1 AS sort_key
- FROM (SELECT CAST(floor(event_id / 50) AS BIGINT) AS run_id, event_id % 50 + 1 AS step, value, user_id FROM {events}) AS b
- WHERE step % 10 = 0) AS entries"""
+FROM (SELECT CAST(floor(event_id / 50) AS BIGINT) AS run_id, event_id % 50 + 1 AS step,
+ value, user_id, @kinds@ AS kind FROM {events}) AS entries"""
 
 # Conversations with tools: some turns become tool messages, some assistant
 # turns call a tool.
@@ -182,8 +179,16 @@ FIXTURES = {
     "tool_turns": TOOL_TURNS,
 }
 MODELS = ["base", "tuned"]
-_SPARK_MODELS = "explode(array('base', 'tuned'))"
-_DUCKDB_MODELS = "unnest(['base', 'tuned'])"
+_EVALUATED = "CASE WHEN (event_id + 1) % 10 = 0"
+# What becomes several rows, in either dialect.
+_SPARK = {
+    "@models@": "explode(array('base', 'tuned'))",
+    "@kinds@": f"explode({_EVALUATED} THEN array('train', 'eval') ELSE array('train') END)",
+}
+_DUCKDB = {
+    "@models@": "unnest(['base', 'tuned'])",
+    "@kinds@": f"unnest({_EVALUATED} THEN ['train', 'eval'] ELSE ['train'] END)",
+}
 _TABLES = ["events", "conversations"]
 
 
@@ -191,9 +196,16 @@ def table(spark, sf_dir, name):
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def _spelled(name, dialect):
+    sql = FIXTURES[name]
+    for mark, expression in dialect.items():
+        sql = sql.replace(mark, expression)
+    return sql
+
+
 def fixture(spark, sf_dir, name):
     """A derived table as a DataFrame."""
-    sql = FIXTURES[name].replace("@models@", _SPARK_MODELS)
+    sql = _spelled(name, _SPARK)
     used = {t: table(spark, sf_dir, t) for t in _TABLES if "{" + t + "}" in sql}
     return spark.sql(sql, **used)
 
@@ -202,7 +214,7 @@ def duckdb_ctes(*names):
     """``WITH`` clause that defines derived tables for DuckDB."""
     parts = []
     for name in names:
-        sql = FIXTURES[name].replace("@models@", _DUCKDB_MODELS)
+        sql = _spelled(name, _DUCKDB)
         for given in _TABLES:
             sql = sql.replace("{" + given + "}", given)
         sql = sql.replace("{{", "{").replace("}}", "}")

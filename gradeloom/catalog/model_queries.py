@@ -132,14 +132,14 @@ _LETTERS = " UNION ALL ".join(
 
 @query(
     "embed",
-    f"""SELECT doc_id, place, round(CAST(n / CASE WHEN total = 0 THEN 1 ELSE total END AS FLOAT), 5) AS share
+    f"""SELECT doc_id, place, round(CAST(CAST(n / CASE WHEN total = 0 THEN 1 ELSE total END AS FLOAT) AS DOUBLE), 5) AS share
 FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS total FROM ({_LETTERS}) AS l) AS t""",
 )
 def embed(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = inference.embed(documents, "text", letter_profile())
     flat = vectors.select("doc_id", F.posexplode_outer("embedding").alias("place", "share"))
-    return flat.select("doc_id", "place", F.round(F.col("share"), 5).alias("share"))
+    return flat.select("doc_id", "place", F.round(F.col("share").cast("double"), 5).alias("share"))
 
 
 _EVALUATION = (

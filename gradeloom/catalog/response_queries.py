@@ -192,6 +192,7 @@ def with_embeddings(rows, spark, sf_dir):
     how a table of precomputed text embeddings is joined.
     """
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    total = vectors.agg(F.count("*")).scalar()
     for shift, name in enumerate(
         ["predicted_root_cause", "expected_root_cause"]
         + ["predicted_recommendation", "expected_recommendation"]
@@ -199,7 +200,7 @@ def with_embeddings(rows, spark, sf_dir):
         wanted = vectors.select(
             F.col("vec_id").alias(f"_{name}"), F.col("embedding").alias(f"{name}_embedding")
         )
-        rows = rows.withColumn(f"_{name}", (F.col("case_id") * 7 + shift) % 500)
+        rows = rows.withColumn(f"_{name}", (F.col("case_id") * 7 + shift) % total)
         rows = rows.join(wanted, f"_{name}").drop(f"_{name}")
     return rows
 
@@ -210,10 +211,11 @@ _SIMILAR = (
 compared AS (SELECT s.*,
  CASE WHEN is_valid THEN {_COSINE.format('a.embedding', 'b.embedding')} END AS root_cause_similarity,
  CASE WHEN is_valid THEN {_COSINE.format('c.embedding', 'd.embedding')} END AS recommendation_similarity
- FROM scored s JOIN embeddings a ON a.vec_id = (case_id * 7) % 500
- JOIN embeddings b ON b.vec_id = (case_id * 7 + 1) % 500
- JOIN embeddings c ON c.vec_id = (case_id * 7 + 2) % 500
- JOIN embeddings d ON d.vec_id = (case_id * 7 + 3) % 500)
+ FROM scored s CROSS JOIN (SELECT count(*) AS n FROM embeddings) AS e
+ JOIN embeddings a ON a.vec_id = (case_id * 7) % n
+ JOIN embeddings b ON b.vec_id = (case_id * 7 + 1) % n
+ JOIN embeddings c ON c.vec_id = (case_id * 7 + 2) % n
+ JOIN embeddings d ON d.vec_id = (case_id * 7 + 3) % n)
 """
 )
 

@@ -73,7 +73,7 @@ def eval_throughput(spark, sf_dir):
 @query(
     "step_assignment",
     duckdb_ctes("examples")
-    + """SELECT example_id, epoch,
+    + """SELECT example_id, CAST(epoch AS BIGINT) AS epoch,
  CAST((epoch - 1) * ceil(n / 4.0) + ceil(place / 4.0) AS BIGINT) AS step,
  round(epoch - 1 + least(ceil(place / 4.0) * 4, n) / n, 6) AS epoch_fraction
 FROM (SELECT example_id, epoch, count(*) OVER (PARTITION BY epoch) AS n, row_number() OVER (

@@ -75,13 +75,10 @@ encoded AS (SELECT p.seq_id, list(v.id ORDER BY p.pos) AS ids
 """
 
 
-def document_vocabulary(spark, sf_dir):
-    return V.build_vocabulary(document_tokens(spark, sf_dir))
-
-
 @query("vocabulary", _DOCUMENTS + ' SELECT token, id, "count" FROM vocabulary')
 def vocabulary(spark, sf_dir):
-    return document_vocabulary(spark, sf_dir)
+    words = V.build_vocabulary(document_tokens(spark, sf_dir))
+    return words.select("token", F.col("id").cast("long").alias("id"), "count")
 
 
 @query(
