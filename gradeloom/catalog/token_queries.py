@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from gradeloom import constants as C
 from gradeloom.catalog import sql as S
-from gradeloom.catalog.chat_queries import _RENDERED
-from gradeloom.catalog.data_queries import valid_examples
-from gradeloom.catalog.fixtures import table
+from gradeloom.catalog.chat_queries import _DEFAULT, _HEADING, _RECORD, _RENDERED
+from gradeloom.catalog.data_queries import _HASH_SPLIT, valid_examples
+from gradeloom.catalog.fixtures import duckdb_ctes, table
 from gradeloom.catalog.registry import query
 from gradeloom.functions import tokens as T
 from gradeloom.operators import (
@@ -250,7 +250,21 @@ def truncate_max_length(spark, sf_dir):
     )
 
 
-@query("training_table")
+_PREFIX = (
+    S.segment("'system'", _DEFAULT)
+    + " || "
+    + S.segment("'user'", f"instruction || {_HEADING} || input")
+    + " || '<|im_start|>assistant' || chr(10)"
+)
+
+
+@query(
+    "training_table",
+    duckdb_ctes("examples")
+    + f"""SELECT example_id, {_HASH_SPLIT.format(key='example_id')},
+ least(len({S.tokens(f"{_PREFIX} || {_RECORD} || '<|im_end|>' || chr(10)")}), 256) AS token_count,
+ least(len({S.tokens(_PREFIX)}), 256) AS ignored_count FROM examples""",
+)
 def training_table(spark, sf_dir):
     rows = preparation.training_table(valid_examples(spark, sf_dir), C.MAX_LENGTH)
     return rows.select(
