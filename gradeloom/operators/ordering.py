@@ -29,15 +29,18 @@ def _with_offsets(df, offsets, keys):
     return joined.withColumn("_before", F.coalesce("_before", F.lit(0)))
 
 
-def number_rows(df, order, name="row_number", within=()):
+def number_rows(df, order, name="row_number", within=(), slices=None):
     """Row number by ``order`` inside ``within``, from 1.
 
     ``order`` must end in a unique column. The table is split by ranges of the
     whole order, so that a hot group spreads over many slices, and is written out
-    once, because a second run of the split might cut elsewhere.
+    once, because a second run of the split might cut elsewhere. ``slices`` is the
+    number of ranges (default: the session's shuffle partitions); choose it so that
+    one range fits in a task.
     """
     within = list(within)
-    ranged = df.repartitionByRange(*[F.col(c) for c in within], *order)
+    by = [*[F.col(c) for c in within], *order]
+    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
     pinned = stage(ranged.withColumn("_slice", F.spark_partition_id()), "ranged")
     keys = within + ["_slice"]
     earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(
