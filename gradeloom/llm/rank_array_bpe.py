@@ -23,16 +23,30 @@ from gradeloom.llm.tables import read
 
 LONG_WORD = 64
 CACHED_PIECES = 300_000
+CACHED_WORDS = 600_000
 CACHED_PIECE_CHARS = 64
-_SPACE = re.compile(r"[ \t\n\r\f\v]+")
+#: Pieces of these characters are cut here as the library cuts them.
+_LETTERS = "a-zß-öø-ÿ"
+_SIMPLE = re.compile(rf"[!-;=-~À-ÖØ-Þ{_LETTERS[3:]}]+")
+_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+
+
+def _byte_names():
+    """The printable character that stands for each byte in byte-level files."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_NAMES = _byte_names()
 _MODELS = {}
 
 
 class RankArrayBpe:
     """Encoder and decoder for a ``tokenizers`` file whose model is BPE.
 
-    The file's own normaliser and pre-tokeniser cut a piece into words; the merges
-    are done here.
+    Pieces of ASCII and Latin-1 letters are cut into words here, others by the file's
+    own normaliser and pre-tokeniser; the merges are done here.
     """
 
     def __init__(self, path):
@@ -54,7 +68,7 @@ class RankArrayBpe:
         self._special = re.compile("(" + "|".join(map(re.escape, found)) + ")") if found else None
         library = Tokenizer.from_file(path)
         self._normalizer, self._splitter = library.normalizer, library.pre_tokenizer
-        self._cache = {}
+        self._word_cache, self._ids, self._decoded = {}, {}, {}
 
     def merge(self, word):
         """Token strings of one pre-tokenised word."""
@@ -103,50 +117,76 @@ class RankArrayBpe:
         return [p for p in parts if p is not None]
 
     def _words(self, piece):
+        if _SIMPLE.fullmatch(piece):
+            words = _WORD.findall(piece.lower())
+            if piece.isascii():
+                return words
+            return ["".join(map(_BYTE_NAMES.__getitem__, w.encode())) for w in words]
         if self._normalizer is not None:
             piece = self._normalizer.normalize_str(piece)
         return [word for word, _ in self._splitter.pre_tokenize_str(piece)]
 
+    def _encode_word(self, word):
+        """(ids as decimals, tokens) of a word, looked up if it was seen before."""
+        found = self._word_cache.get(word)
+        if found is None:
+            tokens = self.merge(word)
+            ids = [self.vocabulary[token] for token in tokens]
+            found = " ".join(map(str, ids)), " ".join(tokens)
+            if len(word) <= CACHED_PIECE_CHARS:
+                if len(self._word_cache) >= CACHED_WORDS:
+                    self._word_cache.clear()
+                self._word_cache[word] = found
+        return found
+
     def _encode_piece(self, piece):
-        ids = []
-        for part in self._special.split(piece) if self._special else [piece]:
+        """[(ids as decimals, tokens)] of a piece without ASCII white space."""
+        if not self._special or not self._special.search(piece):
+            return [*map(self._encode_word, self._words(piece))]
+        found = []
+        for part in self._special.split(piece):
             if part in self.special:
-                ids.append(self.special[part])
+                found.append((str(self.special[part]), part))
             elif part:
-                for word in self._words(part):
-                    ids += [self.vocabulary[token] for token in self.merge(word)]
-        return ids
+                found += map(self._encode_word, self._words(part))
+        return found
 
     def encode(self, text):
         """Token ids of a text; None counts as empty."""
-        return [number for piece in _SPACE.split(text or "") for number in self._encode_piece(piece)]
+        return [*map(int, self.encode_decode(text)[1].split())]
 
     def decode(self, ids):
         """The tokens with one space between; such a file names no decoder."""
         return " ".join(self.tokens[number] for number in ids)
 
-    def _texts(self, piece):
-        ids = self._encode_piece(piece)
-        found = len(ids), " ".join(map(str, ids)), self.decode(ids)
+    def _add_piece(self, piece):
+        found = self._encode_piece(piece)
+        if len(found) == 1:
+            ids, decoded = found[0]
+        else:
+            ids, decoded = " ".join([x for x, _ in found]), " ".join([x for _, x in found])
         if len(piece) <= CACHED_PIECE_CHARS:
-            if len(self._cache) >= CACHED_PIECES:
-                self._cache.clear()
-            self._cache[piece] = found
-        return found
+            if len(self._ids) >= CACHED_PIECES:
+                self._ids.clear()
+                self._decoded.clear()
+            self._ids[piece], self._decoded[piece] = ids, decoded
+        return ids, decoded
 
     def encode_decode(self, text):
         """(number of ids, ids as decimals, decoded text), each piece looked up."""
-        cache, found = self._cache, []
-        for piece in _SPACE.split(text or ""):
-            if piece:
-                one = cache.get(piece) or self._texts(piece)
-                if one[0]:
-                    found.append(one)
-        return (
-            sum(n for n, _, _ in found),
-            " ".join([ids for _, ids, _ in found]),
-            " ".join([decoded for _, _, decoded in found]),
-        )
+        text = text or ""
+        for space in "\t\n\r\f\v":
+            text = text.replace(space, " ")
+        pieces = text.split(" ")
+        ids = [*map(self._ids.get, pieces)]
+        decoded = [*map(self._decoded.get, pieces)]
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    # Taken from the result: the caches may be cleared on the way.
+                    ids[i], decoded[i] = self._add_piece(pieces[i])
+        joined = " ".join(filter(None, ids))
+        return joined.count(" ") + bool(joined), joined, " ".join(filter(None, decoded))
 
 
 def _model(path):
