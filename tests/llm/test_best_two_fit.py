@@ -18,8 +18,13 @@ def _ids(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["x it's 12,3 'SÉ's a'llb ÷×ªº²³ ÀÿØ!? don't", "a 'tis '' '1 _x x_1 \x85b"])
+def test_ids_of_punctuation(text):
+    assert ENCODER.encode(text) == np.asarray(_ids(text), "<u4").tobytes()
+
+
 @settings(max_examples=400, deadline=None)
-@given(st.text(st.sampled_from(list("ab'.1é \n\t 　 s<|>")), max_size=40))
+@given(st.text(st.sampled_from(list("abslt'.1é÷² \n\t 　 s<|>")), max_size=40))
 def test_ids_as_the_library(text):
     assert ENCODER.encode(text) == np.asarray(_ids(text), "<u4").tobytes()
 
