@@ -1,4 +1,4 @@
 """Every query of the subpackage; importing the modules registers them."""
 
-from gradeloom.llm import best_two_fit, decision_list, host_suffixes, license_rules, multi_order_join, noisy_channel, rank_array_bpe  # noqa: F401
+from gradeloom.llm import best_two_fit, collision_projections, decision_list, host_suffixes, license_rules, multi_order_join, noisy_channel, rank_array_bpe  # noqa: F401
 from gradeloom.llm.catalog import ORACLES, QUERIES  # noqa: F401
