@@ -114,7 +114,10 @@ def add_statistics(df, text="text", name="_statistics"):
             (size - F.length(_without(t, ".,;:"))).alias("n_stops"),
         )
 
-    return df.withColumn(name, _let(F.coalesce(F.col(text), F.lit("")), of_text))
+    # A one-row generator: a plain column would be put into, and worked out by, each
+    # of the many expressions that use it.
+    once = F.explode_outer(F.array(_let(F.coalesce(F.col(text), F.lit("")), of_text)))
+    return df.drop(name).select("*", once.alias(name))
 
 
 def features(name="_statistics"):
