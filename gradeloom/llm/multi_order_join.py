@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm.catalog import query
 from gradeloom.llm.components import components
+from gradeloom.llm.filters import split
 from gradeloom.llm.tables import read
 from gradeloom.sources.staging import stage
 
@@ -35,7 +36,6 @@ _CHARS = np.random.Generator(np.random.PCG64(42)).integers(0, 2**64, 256, np.uin
 _BASE = 0x2545F4914F6CDD1D
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _POWERS = {}
-BLOOM_BITS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -193,39 +193,22 @@ def _signatures(df, settings, chunk=256):
     return df.mapInArrow(sign_batches, "id long, n long, fa long, fb long, prefix array<long>")
 
 
-def _bloom(ids):
-    """Bits of a filter of fixed size for a column of ids, as bytes."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(BLOOM_BITS))
-    words = ids.select(F.floor(bit / 32).alias("word"), (bit % 32).cast("int").alias("bit"))
-    masks = words.select("word", F.expr("shiftleft(1L, bit)").alias("mask"))
-    rows = masks.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    bits = np.zeros(BLOOM_BITS // 32, np.uint32)
-    bits[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).astype(np.uint32)
-    return bits.tobytes()
-
-
 def _whole_sets(df, ids, settings, chunk=256):
     """(id, set) of the rows whose id is in ``ids``, made anew from the texts.
 
     A filter of fixed size drops most other rows before the texts are worked on; the
     join drops the rest.
     """
-    bits = _bloom(ids)
-    bit = F.pmod(F.xxhash64("id"), F.lit(BLOOM_BITS))
 
     def set_batches(batches):
-        words = np.frombuffer(bits, np.uint32)
         for batch in batches:
-            place = batch.column(2).to_numpy(zero_copy_only=False)
-            held = (words[place // 32] >> (place % 32).astype(np.uint32)) & 1
-            batch = batch.filter(pa.array(held == 1))
             for at in range(0, batch.num_rows, chunk):
                 part = batch.slice(at, chunk)
                 sets = text_sets(_bytes_of(part.column(1)), settings.words)
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(sets, pa.int64())], ["id", "tokens"])
 
-    made = df.where("id is not null").select("id", "text", bit.alias("bit"))
-    made = made.mapInArrow(set_batches, "id long, tokens array<long>")
+    _, wanted = split(df.where("id is not null").select("id", "text"), ids, "id")
+    made = wanted.mapInArrow(set_batches, "id long, tokens array<long>")
     return stage(made.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
 
 

@@ -1,4 +1,15 @@
 """Every query of the subpackage; importing the modules registers them."""
 
-from gradeloom.llm import best_two_fit, collision_projections, decision_list, host_suffixes, license_rules, multi_order_join, noisy_channel, rank_array_bpe, run_index  # noqa: F401
+from gradeloom.llm import (  # noqa: F401
+    best_two_fit,
+    collision_projections,
+    decision_list,
+    host_suffixes,
+    license_rules,
+    multi_order_join,
+    noisy_channel,
+    rank_array_bpe,
+    run_index,
+    sentence_spans,
+)
 from gradeloom.llm.catalog import ORACLES, QUERIES  # noqa: F401
