@@ -32,12 +32,12 @@ def held(found, values, bits):
     return (found[place // np.uint64(32)] >> (place % np.uint64(32)).astype(np.uint32)) & np.uint32(1) == 1
 
 
-def split(df, rows, key):
+def split(df, rows, key, bits=SPLIT_BITS):
     """(rows of ``df`` whose key is not in ``rows``, the rest) by a filter.
 
     The rest may hold some rows that have no partner either. Null keys are in the rest.
     """
-    found = filter_of(rows.select(F.xxhash64(key).alias("_name")), "_name", SPLIT_BITS)
+    found = filter_of(rows.select(F.xxhash64(key).alias("_name")), "_name", bits)
     marked = df.withColumn("_name", F.xxhash64(key))
     names = df.columns
 
@@ -45,7 +45,7 @@ def split(df, rows, key):
         def run(batches):
             for batch in batches:
                 values = batch.column("_name").to_numpy(zero_copy_only=False).view(np.uint64)
-                mask = held(found, values, SPLIT_BITS)
+                mask = held(found, values, bits)
                 if batch.column(key).null_count:
                     mask = mask | batch.column(key).is_null().to_numpy(zero_copy_only=False)
                 yield batch.filter(pa.array(mask == wanted)).select(names)

@@ -28,6 +28,8 @@ from gradeloom.sources.staging import stage
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ORDERS = [np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
+#: Orders whose prefixes are joined; pairs found by all of them are checked by the rest.
+FINDING = 2
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -112,19 +114,26 @@ def similar(x, y, settings):
     return shared, settings.of * shared >= settings.shared * (len(x) + len(y) - shared)
 
 
+def head(tokens, order, settings):
+    """The set's first tokens under one of the orders, as ranks.
+
+    A rank is one to one with its token (an odd factor and a shift), so equal ranks
+    mean equal tokens. Order 0 is that of the tokens themselves.
+    """
+    ranks = tokens
+    if order:
+        ranks = tokens * _ORDERS[order - 1]
+        ranks = ranks ^ (ranks >> np.uint64(32))
+    k = prefix_length(len(ranks), settings) if len(ranks) else 0
+    return ranks if k >= len(ranks) else np.partition(ranks, k - 1)[:k]
+
+
 def agree(x, y, settings):
-    """Whether two sets share a prefix token under each of the further orders."""
-    for order in _ORDERS:
-        heads = []
-        for tokens in (x, y):
-            # One to one: an odd factor and a shift, so equal ranks mean equal tokens.
-            ranks = tokens * order
-            ranks ^= ranks >> np.uint64(32)
-            k = prefix_length(len(ranks), settings)
-            heads.append(ranks if k >= len(ranks) else np.partition(ranks, k - 1)[:k])
-        if not len(np.intersect1d(*heads)):
-            return False
-    return True
+    """Whether two sets share a prefix token under every order."""
+    return all(
+        len(np.intersect1d(head(x, order, settings), head(y, order, settings)))
+        for order in range(len(_ORDERS) + 1)
+    )
 
 
 def levels(n, settings):
@@ -175,22 +184,25 @@ def _lists(arrays, kind):
 
 
 def _signatures(df, settings, chunk=256):
-    """id, set size, two numbers that name the set, and its first-order prefix."""
+    """id, set size, two numbers that name the set, and its prefixes under the orders
+    that find candidates."""
 
     def sign_batches(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, chunk):
                 part = batch.slice(at, chunk)
                 sets = text_sets(_bytes_of(part.column(1)), settings.words)
-                names = [[np.bitwise_xor.reduce(_mixed(s * m)) for s in sets] for m in _ORDERS]
-                sums = [pa.array(_signed(np.array(n, np.uint64))) for n in names]
-                prefixes = [s[: prefix_length(len(s), settings)] if len(s) else s for s in sets]
+                folded = [[np.bitwise_xor.reduce(_mixed(s * m)) for s in sets] for m in _ORDERS]
+                sums = [pa.array(_signed(np.array(f, np.uint64))) for f in folded]
+                heads = [[head(s, order, settings) for s in sets] for order in range(FINDING)]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sizes, *sums, _lists(prefixes, pa.int64())], ["id", "n", "fa", "fb", "prefix"]
+                    [part.column(0), sizes, *sums, *[_lists(h, pa.int64()) for h in heads]], names
                 )
 
-    return df.mapInArrow(sign_batches, "id long, n long, fa long, fb long, prefix array<long>")
+    names = ["id", "n", "fa", "fb", *[f"prefix{i}" for i in range(FINDING)]]
+    schema = "id long, n long, fa long, fb long" + "".join(f", prefix{i} array<long>" for i in range(FINDING))
+    return df.mapInArrow(sign_batches, schema)
 
 
 def _whole_sets(df, ids, settings, chunk=256):
@@ -212,12 +224,15 @@ def _whole_sets(df, ids, settings, chunk=256):
     return stage(made.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
 
 
-def _short_pairs(lists):
-    """Pairs within lists of bounded length."""
-    members = lists.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+def _short_pairs(lists, settings):
+    """Pairs within lists of bounded length, of sets whose sizes allow a link."""
+    member = F.struct("id", "n")
+    members = lists.groupBy("key").agg(F.sort_array(F.collect_set(member)).alias("ids"))
     first = members.select("ids", F.posexplode("ids").alias("at", "x"))
     rest = first.select("x", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("y"))
-    return rest
+    smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    near = rest.where(settings.of * smaller >= settings.shared * larger)
+    return near.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
 
 
 def _verify(pairs, sets, settings, check_orders):
@@ -253,13 +268,16 @@ def _verify(pairs, sets, settings, check_orders):
 def _split(lists, settings):
     """(rows of short lists, rows of long ones); lists of one are of no use.
 
-    The counts are written before the join, so that it is a join of two plain tables
-    in which Spark can split a hot key.
+    Most keys stand once. A filter of fixed size over the others drops nearly all rows
+    before the join. The counts are written first, so that it is a join of two plain
+    tables in which Spark can split a hot key.
     """
     counts = lists.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
-    counted = stage(lists.join(stage(counts, "list-sizes"), "key"), "counted-lists")
+    counts = stage(counts, "list-sizes")
+    _, several = split(lists, counts, "key", bits=1 << 25)
+    counted = stage(several.join(counts, "key"), "counted-lists")
     is_short = F.col("rows") <= settings.short_list
-    return counted.where(is_short).select("key", "id"), counted.where(~is_short).select("key", "id")
+    return counted.where(is_short).drop("rows"), counted.where(~is_short).drop("rows")
 
 
 def _part_links(sets, settings):
@@ -271,19 +289,21 @@ def _part_links(sets, settings):
                 tokens = np.asarray(batch.column("tokens")[i].values).view(np.uint64)
                 keys = _signed(part_keys(tokens, settings))
                 ids = np.full(len(keys), batch.column("id")[i].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["key", "id"])
+                sizes = np.full(len(keys), len(tokens), np.int64)
+                columns = [pa.array(c) for c in (keys, ids, sizes)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "id", "n"])
 
-    lists = stage(sets.mapInArrow(key_batches, "key long, id long").distinct(), "parts")
+    lists = stage(sets.mapInArrow(key_batches, "key long, id long, n long"), "parts")
     found = None
     while True:
         short, long = _split(lists, settings)
-        linked = _verify(_short_pairs(short), sets, settings, False).where("linked").select("x", "y")
+        linked = _verify(_short_pairs(short, settings), sets, settings, False).where("linked").select("x", "y")
         if long.isEmpty():
             links = linked if found is None else found.unionByName(linked)
             return stage(links, "part-links")
         heads = long.groupBy("key").agg(F.min("id").alias("x"))
         # How far each member is from the head of its list.
-        stars = long.join(heads, "key").where("id != x").select("key", "x", F.col("id").alias("y"))
+        stars = long.join(heads, "key").where("id != x").select("key", "x", "n", F.col("id").alias("y"))
         judged = stage(_distances(stars.select("x", "y").distinct(), sets, settings), "stars")
         placed = stage(stars.join(judged, ["x", "y"]), "placed")
         near = placed.where("linked")
@@ -299,7 +319,7 @@ def _part_links(sets, settings):
         crossed = _verify(across, sets, settings, False).where("linked").select("x", "y")
         now = near.select("x", "y").unionByName(linked).unionByName(crossed)
         found = stage(now if found is None else found.unionByName(now), "part-links")
-        lists = placed.where("not linked").select("key", F.col("y").alias("id"))
+        lists = placed.where("not linked").select("key", F.col("y").alias("id"), "n")
 
 
 def _distances(pairs, sets, settings):
@@ -323,14 +343,24 @@ def similarity_links(df, settings=Settings()):
     heads = (
         signed.where("n > 0 and id is not null")
         .groupBy("n", "fa", "fb")
-        .agg(F.min("id").alias("head"), F.min_by("prefix", "id").alias("prefix"))
+        .agg(
+            F.min("id").alias("head"),
+            *[F.min_by(f"prefix{i}", "id").alias(f"prefix{i}") for i in range(FINDING)],
+        )
     )
     heads = stage(heads, "heads")
-    # A text's own tokens are distinct, so a list names each head once.
-    lists = heads.select(F.col("head").alias("id"), F.explode_outer("prefix").alias("key"))
-    short, long = _split(lists.select("key", "id"), settings)
-    candidates = stage(_short_pairs(short).distinct(), "candidates")
-    crowded = stage(long.select("id").distinct(), "crowded")
+    candidates = crowded = None
+    for i in range(FINDING):
+        # A set's own tokens are distinct, so a list names each head once.
+        lists = heads.select(F.explode_outer(f"prefix{i}").alias("key"), F.col("head").alias("id"), "n")
+        short, long = _split(lists, settings)
+        pairs, many = _short_pairs(short, settings).distinct(), long.select("id").distinct()
+        # A pair must share a token under every order; one that shares a crowded token
+        # under any of them has two crowded sets and goes the other way.
+        candidates = pairs if candidates is None else candidates.join(pairs, ["x", "y"], "left_semi")
+        crowded = many if crowded is None else crowded.union(many)
+    candidates = stage(candidates, "candidates")
+    crowded = stage(crowded.distinct(), "crowded")
     wanted = candidates.select(F.col("x").alias("id")).union(candidates.select("y")).union(crowded)
     sets = _whole_sets(df.select("id", "text"), stage(wanted.distinct(), "wanted"), settings)
     links = _verify(candidates, sets, settings, True).where("linked").select("x", "y")
@@ -338,7 +368,7 @@ def similarity_links(df, settings=Settings()):
     if not crowded.isEmpty():
         links = links.unionByName(_part_links(sets.join(crowded, "id", "left_semi"), settings))
         links = stage(links.distinct(), "links")
-    return signed.select("id", "n", "fa", "fb"), heads.drop("prefix"), links
+    return signed.select("id", "n", "fa", "fb"), heads.select("head", "n", "fa", "fb"), links
 
 
 def near_duplicates(df, settings=Settings(), key="doc_id", text="text"):
