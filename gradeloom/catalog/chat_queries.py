@@ -13,7 +13,6 @@ from gradeloom.operators import conversations, examples
 _DEFAULT = S.text(C.DEFAULT_SYSTEM)
 _HEADING = S.text(C.FAILURE_HEADING)
 _INSTRUCTION = S.text(C.ANALYSIS_INSTRUCTION)
-_PART = f"CAST(floor(turn / {conversations.PART_TURNS}) AS BIGINT)"
 
 
 @query(
@@ -116,12 +115,12 @@ def prompt_completion_conversations(spark, sf_dir):
 
 
 _OPENING = (
-    "CASE WHEN turn = 0 AND role <> 'system' THEN "
+    "CASE WHEN arg_min(role, turn) <> 'system' THEN "
     + S.segment("'system'", _DEFAULT) + " ELSE '' END"
 )
-_RENDERED = f"""SELECT conv_id, {_PART} AS part,
- string_agg({_OPENING} || {S.segment('role', 'text')}, '' ORDER BY turn) AS rendered
-FROM conversations GROUP BY conv_id, {_PART}"""
+_RENDERED = f"""SELECT conv_id, {_OPENING} ||
+ string_agg({S.segment('role', 'text')}, '' ORDER BY turn) AS rendered
+FROM conversations GROUP BY conv_id"""
 
 
 @query("render_chat", _RENDERED)
@@ -131,12 +130,8 @@ def render_chat(spark, sf_dir):
 
 @query(
     "render_generation_prompt",
-    f"""SELECT conv_id, {_PART} AS part, string_agg(CASE WHEN role = 'generation'
- THEN '<|im_start|>assistant' || chr(10)
- ELSE {_OPENING} || {S.segment('role', 'text')} END, '' ORDER BY turn) AS rendered
-FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL
- SELECT conv_id, max(turn) + 1, 'generation', '' FROM conversations GROUP BY conv_id) AS t
-GROUP BY conv_id, {_PART}""",
+    f"""SELECT conv_id, rendered || '<|im_start|>assistant' || chr(10) AS rendered
+FROM ({_RENDERED}) AS r""",
 )
 def render_generation_prompt(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
@@ -211,18 +206,39 @@ def render_tool_calls(spark, sf_dir):
 @query(
     "render_tool_responses",
     duckdb_ctes("tool_turns")
-    + f"""SELECT conv_id, {_PART} AS part, string_agg({_OPENING} ||
- CASE WHEN role = 'tool' THEN CASE WHEN coalesce(before, '') <> 'tool' THEN '<|im_start|>user' ELSE '' END
+    + f"""SELECT conv_id, {_OPENING} || string_agg(CASE WHEN role = 'tool' THEN CASE WHEN coalesce(before, '') <> 'tool' THEN '<|im_start|>user' ELSE '' END
    || chr(10) || '<tool_response>' || chr(10) || text || chr(10) || '</tool_response>'
    || CASE WHEN coalesce(behind, '') <> 'tool' THEN '<|im_end|>' || chr(10) ELSE '' END
   WHEN role = 'assistant' AND calls > 0 THEN {_CALLS}
   ELSE {S.segment('role', 'text')} END, '' ORDER BY turn) AS rendered
 FROM (SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS behind FROM tool_turns
  WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) AS t
-GROUP BY conv_id, {_PART}""",
+GROUP BY conv_id""",
 )
 def render_tool_responses(spark, sf_dir):
-    return conversations.render_conversations(tool_turns(spark, sf_dir), tools=True)
+    return conversations.render_conversations(tool_turns(spark, sf_dir), tool_turns=True)
+
+
+_TOOLS = ['{"name": "lookup", "parameters": {}}', '{"name": "search"}']
+
+
+@query(
+    "render_with_tools",
+    f"""SELECT conv_id, '<|im_start|>system' || chr(10)
+ || CASE WHEN arg_min(role, turn) = 'system' THEN arg_min(text, turn) ELSE {_DEFAULT} END
+ || {S.text(C.TOOLS_INTRO)} || chr(10) || {S.text(_TOOLS[0])} || chr(10) || {S.text(_TOOLS[1])}
+ || {S.text(C.TOOLS_OUTRO)} || '<|im_end|>' || chr(10)
+ || coalesce(string_agg({S.segment('role', 'text')}, '' ORDER BY turn)
+  FILTER (WHERE role <> 'system' OR NOT is_first), '')
+ || '<|im_start|>assistant' || chr(10) AS rendered
+FROM (SELECT *, turn = min(turn) OVER (PARTITION BY conv_id) AS is_first FROM conversations) AS t
+GROUP BY conv_id""",
+)
+def render_with_tools(spark, sf_dir):
+    """Whole conversations with tools: the header stands for the system message."""
+    turns = table(spark, sf_dir, "conversations")
+    tools = F.array([F.lit(t) for t in _TOOLS])
+    return conversations.render_conversations(turns, generation_prompt=True, tools=tools)
 
 
 _JUDGE_CASES = """SELECT case_id, input AS failure, expected_root_cause AS a,

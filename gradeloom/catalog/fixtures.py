@@ -7,6 +7,7 @@ stands for a given table, ``@models@`` for a row per model name and ``@kinds@``
 for a row per log entry.
 """
 
+from gradeloom import constants as C
 from gradeloom.sources.readers import read_table
 
 # Six labels in turn.
@@ -118,7 +119,7 @@ FROM (SELECT *, '{{' || {flags} || ', "explanation": "' || explanation || '", "n
 
 # Valid training examples; texts with quotes, backslashes and line breaks.
 EXAMPLES = """SELECT event_id AS example_id,
- 'Analyze the ETL pipeline failure and identify the failure category, root cause, and recommended action.' AS instruction,
+ '{instruction}' AS instruction,
  'The ' || event_type || ' load of user ' || CAST(user_id AS STRING) || ' failed at record '
   || CAST(event_id AS STRING) || '.' AS input,
  CASE event_type WHEN 'click' THEN 'SCHEMA_ERROR' WHEN 'view' THEN 'CONNECTION_ERROR'
@@ -130,7 +131,7 @@ EXAMPLES = """SELECT event_id AS example_id,
   WHEN 3 THEN 'First line.' || chr(10) || 'Second line:' || chr(9) || event_type || chr(13)
   ELSE 'The value of "' || event_type || '" is out of range.' END AS root_cause,
  'Fix the ' || event_type || ' mapping and rerun for user ' || CAST(user_id AS STRING) || '.' AS recommendation
-FROM {events}"""
+FROM {events}""".replace("{instruction}", C.ANALYSIS_INSTRUCTION)
 
 # The same as JSON lines, with every kind of fault.
 EXAMPLE_LINES = """SELECT event_id AS example_id,

@@ -26,12 +26,11 @@ def document_tokens(spark, sf_dir):
 
 
 def conversation_tokens(spark, sf_dir):
-    """Tokens of every rendered conversation (or part of a very long one)."""
+    """Tokens of every rendered conversation."""
     turns = table(spark, sf_dir, "conversations")
     rendered = conversations.render_conversations(turns)
-    key = F.concat_ws("/", F.col("conv_id").cast("string"), F.col("part").cast("string"))
     return rendered.select(
-        key.alias("seq_id"), "rendered", T.tokenize(F.col("rendered")).alias("tokens")
+        F.col("conv_id").alias("seq_id"), "rendered", T.tokenize(F.col("rendered")).alias("tokens")
     )
 
 
@@ -62,7 +61,7 @@ _DOCUMENTS = (
 )
 _CONVERSATIONS = (
     f"""WITH rendered AS ({_RENDERED}),
-sequences AS (SELECT CAST(conv_id AS VARCHAR) || '/' || CAST(part AS VARCHAR) AS seq_id, rendered,
+sequences AS (SELECT conv_id AS seq_id, rendered,
  {S.tokens('rendered')} AS tokens FROM rendered),
 """
     + _VOCABULARY
@@ -91,7 +90,7 @@ FROM encoded""",
 def encode(spark, sf_dir):
     rows = document_tokens(spark, sf_dir)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    return V.encode(rows, words, "doc_id").select(
+    return V.encode(rows, words).select(
         "doc_id", F.size("ids").cast("long").alias("token_count"), digest("ids").alias("ids")
     )
 
@@ -101,24 +100,34 @@ def decode(spark, sf_dir):
     """Encoding a text and decoding the ids gives the text back."""
     rows = document_tokens(spark, sf_dir)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    decoded = V.decode(V.encode(rows, words, "doc_id"), words, "doc_id")
+    decoded = V.decode(V.encode(rows, words), words)
     return decoded.select("doc_id", F.md5("decoded").alias("decoded"))
 
 
 @query(
     "decode_without_special",
     f"""WITH rendered AS ({_RENDERED})
-SELECT CAST(conv_id AS VARCHAR) || '/' || CAST(part AS VARCHAR) AS seq_id,
+SELECT conv_id AS seq_id,
  regexp_replace(rendered, '<\\|im_(start|end)\\|>', '', 'g') AS decoded FROM rendered""",
 )
 def decode_without_special(spark, sf_dir):
     rows = conversation_tokens(spark, sf_dir)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    encoded = V.encode(rows, words, "seq_id")
-    decoded = V.decode(encoded, words, "seq_id", skip_special_tokens=True)
+    encoded = V.encode(rows, words)
+    decoded = V.decode(encoded, words, skip_special_tokens=True)
     return decoded.select("seq_id", "decoded")
 
 
+@query("decode_rare_tokens", "SELECT doc_id, md5(text) AS decoded FROM documents")
+def decode_rare_tokens(spark, sf_dir):
+    """As ``decode`` with a lookup so small that nearly all tokens come by the join."""
+    rows = document_tokens(spark, sf_dir)
+    words = stage(V.build_vocabulary(rows), "vocabulary")
+    encoded = V.encode(rows, words, max_tokens=50)
+    decoded = V.decode(encoded, words, max_tokens=50)
+    return decoded.select("doc_id", F.md5("decoded").alias("decoded"))
+
+
 _TERMS = f"""WITH sequences AS (SELECT p_partkey AS seq_id, p_name || '/' || p_brand AS term,
  {S.tokens("p_name || '/' || p_brand")} AS tokens FROM part),
 """
@@ -139,7 +148,7 @@ def term_tokens(spark, sf_dir):
         "p_partkey", term.alias("term"), T.tokenize(term).alias("tokens")
     )
     words = stage(V.build_vocabulary(terms), "vocabulary")
-    return V.encode(terms, words, "p_partkey").select(
+    return V.encode(terms, words).select(
         "p_partkey",
         "term",
         F.array_join("tokens", "|").alias("tokens"),
@@ -167,7 +176,7 @@ masked AS (SELECT e.seq_id, e.ids, m.start,
 def masked_conversations(spark, sf_dir):
     rows = conversation_tokens(spark, sf_dir).drop("rendered")
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    encoded = V.encode(rows, words, "seq_id")
+    encoded = V.encode(rows, words)
     return masking.add_loss_mask(encoded, preparation.marker_ids(words))
 
 
@@ -189,17 +198,19 @@ def loss_mask(spark, sf_dir):
 @query(
     "seq_length_stats",
     _MASKED
-    + """SELECT count(*) AS sequences, min(len(ids)) AS min_tokens,
+    + """SELECT count(*) AS sequences, CAST(count(*) FILTER (WHERE start IS NULL) AS BIGINT)
+  AS without_answer, min(len(ids)) AS min_tokens,
  round(avg(len(ids)), 6) AS avg_tokens, max(len(ids)) AS max_tokens,
- CAST(sum(start) AS BIGINT) AS ignored_tokens,
- CAST(sum(len(ids) - start) AS BIGINT) AS supervised_tokens
-FROM masked WHERE start IS NOT NULL""",
+ CAST(sum(coalesce(start, len(ids))) AS BIGINT) AS ignored_tokens,
+ CAST(sum(len(ids) - coalesce(start, len(ids))) AS BIGINT) AS supervised_tokens
+FROM masked""",
 )
 def seq_length_stats(spark, sf_dir):
-    masked = masked_conversations(spark, sf_dir).where("has_answer")
+    masked = masked_conversations(spark, sf_dir)
     stats = profile.sequence_length_stats(profile.sequence_lengths(masked))
     return stats.select(
         "sequences",
+        "without_answer",
         F.col("min_tokens").cast("long").alias("min_tokens"),
         F.round("avg_tokens", 6).alias("avg_tokens"),
         F.col("max_tokens").cast("long").alias("max_tokens"),
@@ -211,7 +222,7 @@ def seq_length_stats(spark, sf_dir):
 @query(
     "completion_slice",
     f"""WITH rendered AS ({_RENDERED})
-SELECT conv_id, part, len({S.tokens("rendered || lower(rendered)")})
+SELECT conv_id, len({S.tokens("rendered || lower(rendered)")})
   - len({S.tokens('rendered')}) AS new_tokens,
  md5(array_to_string({S.tokens('lower(rendered)')}, '|')) AS completion FROM rendered""",
 )
@@ -221,14 +232,12 @@ def completion_slice(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     rows = conversations.render_conversations(turns).select(
         "conv_id",
-        "part",
         T.tokenize(F.col("rendered")).alias("input"),
         T.tokenize(F.concat("rendered", F.lower("rendered"))).alias("output"),
     )
     answer = T.completion_slice(F.col("output"), F.col("input"))
     return rows.withColumn("answer", answer).select(
         "conv_id",
-        "part",
         F.size("answer").cast("long").alias("new_tokens"),
         digest("answer").alias("completion"),
     )
@@ -330,6 +339,26 @@ def softmax_long(spark, sf_dir):
     )
 
 
+@query(
+    "softmax_masked",
+    """WITH logits AS (SELECT vec_id, unnest(embedding)::DOUBLE AS logit,
+ generate_subscripts(embedding, 1) - 1 AS candidate_id FROM embeddings),
+weights AS (SELECT *, CASE WHEN candidate_id >= 16 THEN 0.0 ELSE exp(logit) END AS w FROM logits)
+SELECT vec_id AS group_id, candidate_id,
+ round(w / sum(w) OVER (PARTITION BY vec_id), 6) AS probability FROM weights""",
+)
+def softmax_masked(spark, sf_dir):
+    """Candidates from 16 on are masked, and so are whole slices of a group."""
+    masked = F.when(F.col("candidate_id") >= 16, float("-inf")).otherwise(F.col("logit"))
+    rows = long_logits(spark, sf_dir).withColumn("logit", masked)
+    rows = probability.softmax_long(rows, slice_size=8)
+    return rows.select(
+        "group_id",
+        F.col("candidate_id").cast("long").alias("candidate_id"),
+        F.round("probability", 6).alias("probability"),
+    )
+
+
 _TOP = (
     _SOFTMAX.format(scale=1)
     + """SELECT vec_id AS {key}, rank, candidate_id, round(probability, 6) AS probability

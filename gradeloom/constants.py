@@ -76,7 +76,7 @@ ANALYSIS_INSTRUCTION = (
     "root cause, and recommended action."
 )
 FAILURE_HEADING = "\n\nETL Failure:\n"
-JUDGE_SYSTEM = "You are a strict evaluator of ETL pipeline failure analyses."
+JUDGE_SYSTEM = "You grade analyses of failed data loads and accept only what the case supports."
 TOOLS_INTRO = (
     "\n\n# Tools\n\nYou may call one or more functions to assist with the user query."
     "\n\nYou are provided with function signatures within <tools></tools> XML tags:\n<tools>"

@@ -1,9 +1,8 @@
 """Rendering of conversations stored as one row per turn.
 
-``turn`` is the 0-based place of a message in its conversation. A conversation
-may be far longer than one task can hold, so it is rendered in parts of a fixed
-number of turns: rows are keyed ``(conv_id, part)`` and the parts, joined in
-order, are the whole text. An ordinary conversation is one part.
+``turn`` gives the order of the messages; it may start anywhere and have gaps. A
+rendered conversation is one row, as it is one sequence for everything that follows,
+so its messages are gathered in a single grouping by conversation.
 """
 
 from pyspark.sql import functions as F
@@ -14,71 +13,30 @@ from gradeloom.functions import chat
 PART_TURNS = 4096
 
 
-def conversation_parts(turns, part_turns=PART_TURNS, neighbours=False):
-    """``(conv_id, part, messages)`` with at most ``part_turns`` messages a part.
-
-    With ``neighbours``, the message before and the one after a part come along,
-    for renderings that look at them.
-    """
-    part = F.floor(F.col("turn") / part_turns)
-    if neighbours:
-        place = F.col("turn") % part_turns
-        part = F.explode(
-            F.array_compact(
-                F.array(
-                    part,
-                    F.when(place == part_turns - 1, part + 1),
-                    F.when((place == 0) & (F.col("turn") > 0), part - 1),
-                )
-            )
-        )
+def gather_messages(turns):
+    """``(conv_id, messages)`` with the messages of a conversation in order."""
     fields = [c for c in turns.columns if c not in ("conv_id", "turn")]
-    message = F.struct("turn", *fields)
-    return (
-        turns.withColumn("part", part)
-        .groupBy("conv_id", "part")
-        .agg(F.sort_array(F.collect_list(message)).alias("messages"))
+    return turns.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", *fields))).alias("messages")
     )
 
 
-def with_generation_turn(turns):
-    """Add a turn after the last one, where the model is to answer."""
-    last = turns.groupBy("conv_id").agg(F.max("turn").alias("turn"))
-    return turns.unionByName(
-        last.select(
-            "conv_id",
-            (F.col("turn") + 1).alias("turn"),
-            F.lit("generation").alias("role"),
-            F.lit("").alias("text"),
-        ),
-        allowMissingColumns=True,
-    )
-
+def render_conversations(turns, generation_prompt=False, tool_turns=False, tools=None, json_is_spaced=True):
+    """``(conv_id, rendered)``.
 
-def render_conversations(
-    turns, generation_prompt=False, tools=False, part_turns=PART_TURNS
-):
-    """``(conv_id, part, rendered)``.
-
-    ``tools``: assistant turns may carry ``tool_calls`` and there may be tool
-    turns; ``turns`` then needs a ``tool_calls`` column.
+    ``tool_turns``: assistant turns may carry ``tool_calls`` and there may be tool
+    turns; ``turns`` then needs a ``tool_calls`` column. ``tools``, an array column of
+    JSON texts made of literals, puts the tools header in place of the system message.
     """
-    if generation_prompt:
-        turns = with_generation_turn(turns)
-    parts = conversation_parts(turns, part_turns, neighbours=tools)
     messages = F.col("messages")
+    first = messages[0]
 
     def plain(message):
-        body = chat.segment(message["role"], message["text"])
-        if generation_prompt:
-            return F.when(
-                message["role"] == "generation", F.lit(C.GENERATION_PROMPT)
-            ).otherwise(body)
-        return body
+        return chat.segment(message["role"], message["text"])
 
     def any_message(message, at):
         calls = F.coalesce(F.size(message["tool_calls"]), F.lit(0)) > 0
-        text = (
+        return (
             F.when(
                 message["role"] == "tool",
                 chat.tool_response_segment(
@@ -93,22 +51,22 @@ def render_conversations(
             )
             .otherwise(plain(message))
         )
-        own = F.floor(message["turn"] / part_turns) == F.col("part")
-        return F.when(own, text).otherwise(F.lit(""))
 
-    first = messages[0]
-    opening = F.when(
-        (F.col("part") == 0) & (first["turn"] == 0),
-        chat.default_system_segment(first["role"]),
-    ).otherwise(F.lit(""))
-    body = F.array_join(F.transform(messages, any_message if tools else plain), "")
-    if tools:
-        # A part made of a neighbour alone belongs to no message.
-        own = F.exists(
-            messages, lambda m: F.floor(m["turn"] / part_turns) == F.col("part")
-        )
-        parts = parts.where(own)
-    return parts.select("conv_id", "part", F.concat(opening, body).alias("rendered"))
+    def body(message, at):
+        text = any_message(message, at) if tool_turns else plain(message)
+        if tools is None:
+            return text
+        in_header = (at == 0) & (message["role"] == "system")
+        return F.when(in_header, F.lit("")).otherwise(text)
+
+    if tools is None:
+        opening = chat.default_system_segment(first["role"])
+    else:
+        opening = chat.tools_header(first["role"], first["text"], tools, json_is_spaced)
+    rendered = [opening, F.array_join(F.transform(messages, body), "")]
+    if generation_prompt:
+        rendered.append(F.lit(C.GENERATION_PROMPT))
+    return gather_messages(turns).select("conv_id", F.concat(*rendered).alias("rendered"))
 
 
 def label_turns(turns, part_turns=PART_TURNS):

@@ -17,17 +17,40 @@ METRICS = [
 ]
 
 
-def score_cases(analyses, cases, key="case_id"):
-    """Join with the expected answers and add ``category_correct``.
+def score_cases(analyses, cases, key="case_id", models=None):
+    """Every case for every model with its answer and ``category_correct``.
 
-    A missing category is wrong, never unknown, and so stays in the count.
+    A case that a model did not answer counts as wrong and invalid, so rates are over
+    all cases. ``models`` defaults to those that answered anything. Answers to unknown
+    cases are left to :func:`unmatched_answers`.
     """
+    if models is None:
+        models = sorted(r.model for r in analyses.select("model").distinct().collect())
+    own = [c for c in ("input",) if c in cases.columns]
     expected = cases.select(
-        key, "expected_category", "expected_root_cause", "expected_recommendation"
-    )
-    return analyses.join(expected, key).withColumn(
-        "category_correct", F.col("category").eqNullSafe(F.col("expected_category"))
+        key,
+        *own,
+        "expected_category",
+        "expected_root_cause",
+        "expected_recommendation",
+        F.explode(F.array([F.lit(m) for m in models]).cast("array<string>")).alias("model"),
     )
+    answers = analyses.drop(*own)
+    right = F.col("category").eqNullSafe(F.col("expected_category"))
+    # An inner join and the cases it leaves out, as an outer join could not split a
+    # case with very many answers.
+    matched = answers.join(expected, [key, "model"]).withColumn("category_correct", right)
+    answered = answers.select(key, "model").distinct()
+    missing = expected.join(answered, [key, "model"], "left_anti")
+    missing = missing.withColumn("category_correct", F.lit(False))
+    if "is_valid" in analyses.columns:
+        missing = missing.withColumn("is_valid", F.lit(False))
+    return matched.unionByName(missing, allowMissingColumns=True)
+
+
+def unmatched_answers(analyses, cases, key="case_id"):
+    """Answers to cases that are not among the given ones."""
+    return analyses.join(cases.select(key), key, "left_anti")
 
 
 def add_overlap(scored):
@@ -117,15 +140,40 @@ def model_summary(judged):
     )
 
 
+def similarity_summary(scored):
+    """As :func:`model_summary`, with similarities in place of the judge's scores."""
+    return scored.groupBy("model").agg(
+        percentage(F.col("category_correct")).alias("category_accuracy"),
+        percentage(F.col("is_valid")).alias("structure_validity"),
+        mean_or_zero("root_cause_similarity").alias("avg_root_cause_similarity"),
+        mean_or_zero("recommendation_similarity").alias("avg_recommendation_similarity"),
+    )
+
+
+REPORT_FIELDS = [
+    "case_id", "model", "input", "response", "expected_category", "category",
+    "category_correct", "is_valid", "expected_root_cause", "root_cause",
+    "expected_recommendation", "recommendation", "root_cause_score", "recommendation_score",
+    "root_cause_similarity", "recommendation_similarity",
+]
+
+
+def case_report(scored):
+    """Everything known of each case and model, responses whole; the scores and
+    similarities only where they were worked out."""
+    return scored.select(*[c for c in REPORT_FIELDS if c in scored.columns])
+
+
 def side_by_side(responses, models):
     """One row per case, one column per model; of several responses the first."""
     first = F.min_by("response", "response_id")
     return responses.groupBy("case_id").pivot("model", list(models)).agg(first)
 
 
-def metric_comparison(summary, base, tuned):
-    """``(metric, base, tuned, reduction_percent)`` from the model summary."""
-    long = summary.unpivot("model", METRICS, "metric", "value")
+def metric_comparison(summary, base, tuned, metrics=None):
+    """``(metric, base, tuned, reduction_percent)`` of any metrics of a summary."""
+    metrics = [c for c in summary.columns if c != "model"] if metrics is None else metrics
+    long = summary.unpivot("model", metrics, "metric", "value")
     return (
         long.groupBy("metric")
         .pivot("model", [base, tuned])

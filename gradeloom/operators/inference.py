@@ -1,30 +1,49 @@
 """Models over table columns: the one place where rows go to Python.
 
-A model is given as a factory, called once per task; what it returns takes a
-list of texts and gives back a list of the same length.
+A model is given as a factory, called once per worker process and operator call;
+what it returns takes a list of texts and gives back a list of the same length.
 """
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gradeloom import constants as C
 
+#: The model loaded last in this worker process, under the call it belongs to.
+_LOADED = {}
+
+
+def _loaded(call, factory):
+    if call not in _LOADED:
+        _LOADED.clear()
+        _LOADED[call] = factory()
+    return _LOADED[call]
+
 
 def apply_model(df, column, factory, name, result_type, batch_size=256):
-    """Add what a model makes of each text in ``column``, as ``result_type``."""
+    """Add what a model makes of each text in ``column``, as ``result_type``.
+
+    A null text gives null and does not reach the model.
+    """
+    call = uuid.uuid4().hex
     schema = T.StructType(df.schema.fields + [T.StructField(name, result_type)])
     arrow_type = to_arrow_type(result_type)
 
     def run(batches):
-        model = None
         for batch in batches:
-            if model is None:
-                model = factory()
-            texts = batch.column(column).to_pylist()
-            answers = []
-            for start in range(0, len(texts), batch_size):
-                answers += model(texts[start : start + batch_size])
+            values = batch.column(column).to_pylist()
+            places = [i for i, value in enumerate(values) if value is not None]
+            answers = [None] * len(values)
+            for start in range(0, len(places), batch_size):
+                chosen = places[start : start + batch_size]
+                made = _loaded(call, factory)([values[i] for i in chosen])
+                if len(made) != len(chosen):
+                    raise ValueError(f"the model gave {len(made)} answers to {len(chosen)} texts")
+                for i, answer in zip(chosen, made):
+                    answers[i] = answer
             yield pa.RecordBatch.from_arrays(
                 batch.columns + [pa.array(answers, type=arrow_type)],
                 names=batch.schema.names + [name],

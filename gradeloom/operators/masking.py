@@ -16,7 +16,7 @@ def add_loss_mask(df, marker, ids="ids", strict=False, end_marker=None):
     """
     start = T.last_marker_end(F.col(ids), [F.lit(part) for part in marker])
     if strict:
-        message = F.lit("Could not locate the assistant response boundary.")
+        message = F.lit("a sequence has no assistant turn to train on")
         start = F.when(start.isNotNull(), start).otherwise(
             F.raise_error(message).cast("int")
         )
@@ -24,7 +24,7 @@ def add_loss_mask(df, marker, ids="ids", strict=False, end_marker=None):
     stop = None
     if end_marker is not None:
         rest = F.slice(F.col(ids), F.col("answer_start") + 1, F.size(ids))
-        place = F.array_position(rest, F.lit(end_marker))
+        place = F.array_position(rest, F.lit(end_marker).cast("long"))
         df = df.withColumn(
             "_stop",
             F.when(place > 0, F.col("answer_start") + place).otherwise(F.size(ids)),

@@ -54,13 +54,18 @@ def softmax_long(
 
     Each slice of a group's candidate ids is shifted and summed by itself. The
     few slice totals of a group give the factor that turns a slice's weights into
-    probabilities of the whole group.
+    probabilities of the whole group. A masked candidate (minus infinity) has
+    probability 0, also where all of its slice is masked.
     """
+    masked = F.lit(float("-inf"))
     part = Window.partitionBy(group, "_slice")
     weighted = (
         df.withColumn("_slice", F.floor(F.col(candidate) / slice_size))
         .withColumn("_top", F.max(logit).over(part))
-        .withColumn("_weight", F.exp(F.col(logit) - F.col("_top")))
+        .withColumn(
+            "_weight",
+            F.when(F.col("_top") == masked, 0.0).otherwise(F.exp(F.col(logit) - F.col("_top"))),
+        )
         .withColumn("_sum", F.sum("_weight").over(part))
     )
     slices = weighted.groupBy(group, "_slice").agg(
@@ -72,7 +77,7 @@ def softmax_long(
     )
 
     def shift(one):
-        return F.exp(one["_top"] - F.col("_highest"))
+        return F.when(one["_top"] == masked, 0.0).otherwise(F.exp(one["_top"] - F.col("_highest")))
 
     total = F.aggregate(
         "_parts", F.lit(0.0), lambda acc, one: acc + one["_sum"] * shift(one)
@@ -84,7 +89,7 @@ def softmax_long(
                 "_parts",
                 lambda one: F.struct(
                     one["_slice"].alias("_slice"),
-                    (shift(one) / F.col("_total")).alias("_factor"),
+                    F.try_divide(shift(one), F.col("_total")).alias("_factor"),
                 ),
             )
         ),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.text import words
 from gradeloom.functions.tokens import ignored_count, tokenize
+from gradeloom.operators.ordering import number_rows
 
 
 def dataset_summary(df, key="example_id"):
@@ -15,9 +16,10 @@ def dataset_summary(df, key="example_id"):
     )
 
 
-def category_listing(df, position="example_id"):
-    """Numbered list of categories; the position is the 0-based place in the data."""
-    return df.select((F.col(position) + 1).alias("number"), "category")
+def category_listing(df, order="example_id"):
+    """Categories numbered from 1 in the order of a unique column, gaps or not."""
+    numbered = number_rows(df.select(order, "category"), [F.asc(order)], "number")
+    return numbered.select(F.col("number").cast("long").alias("number"), "category")
 
 
 def category_distribution(df):
@@ -34,18 +36,26 @@ def token_word_ratio(df, text="text"):
 
 
 def sequence_lengths(df, ids="ids", labels="labels"):
-    """Add token, ignored and supervised counts of each sequence."""
+    """Add token, ignored and supervised counts of each sequence.
+
+    A sequence without an answer has null labels: all of it is ignored.
+    """
+    ignored = F.coalesce(
+        F.when(F.col(labels).isNotNull(), ignored_count(F.col(labels))), F.size(ids)
+    )
     return (
         df.withColumn("token_count", F.size(ids))
-        .withColumn("ignored_count", ignored_count(F.col(labels)))
+        .withColumn("has_answer", F.col(labels).isNotNull())
+        .withColumn("ignored_count", ignored)
         .withColumn("supervised_count", F.col("token_count") - F.col("ignored_count"))
     )
 
 
 def sequence_length_stats(lengths):
-    """One row: smallest, mean and largest length and the supervised total."""
+    """One row over all sequences: lengths, totals and how many lack an answer."""
     return lengths.agg(
         F.count("*").alias("sequences"),
+        F.count_if(~F.col("has_answer")).alias("without_answer"),
         F.min("token_count").alias("min_tokens"),
         F.avg("token_count").alias("avg_tokens"),
         F.max("token_count").alias("max_tokens"),

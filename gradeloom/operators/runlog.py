@@ -7,9 +7,10 @@ from gradeloom import constants as C
 
 def flatten_run_log(logs):
     """One row per log entry; entries with an evaluation loss are ``eval``."""
-    entries = logs.select("run_id", F.explode("log_history").alias("entry"))
+    source = [c for c in ("source_file",) if c in logs.columns]
+    entries = logs.select("run_id", *source, F.explode("log_history").alias("entry"))
     kind = F.when(F.col("entry.eval_loss").isNotNull(), "eval").otherwise("train")
-    return entries.select("run_id", kind.alias("kind"), "entry.*")
+    return entries.select("run_id", *source, kind.alias("kind"), "entry.*")
 
 
 def epoch_summary(entries):

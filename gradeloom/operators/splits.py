@@ -3,16 +3,20 @@
 from pyspark.sql import functions as F
 
 from gradeloom import constants as C
+from gradeloom.operators.ordering import number_rows
 
 
 def _label(in_validation):
     return F.when(in_validation, F.lit("validation")).otherwise(F.lit("train"))
 
 
-def split_by_position(df, position="example_id", held_out=None):
-    """Add ``split``: the rows at the given 0-based positions are held out."""
+def split_by_position(df, order="example_id", held_out=None):
+    """Add ``split``: the rows at the given 0-based places in the order of a unique
+    column are held out, whatever its values."""
     held_out = C.VALIDATION_POSITIONS if held_out is None else held_out
-    return df.withColumn("split", _label(F.col(position).isin(list(held_out))))
+    placed = number_rows(df, [F.asc(order)], "_place")
+    held = F.col("_place").isin([p + 1 for p in held_out])
+    return placed.withColumn("split", _label(held)).drop("_place")
 
 
 def split_by_hash(df, key="example_id", share=0.2):

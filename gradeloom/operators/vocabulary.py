@@ -1,18 +1,20 @@
 """Token ids: building a vocabulary, encoding and decoding.
 
 Ids rank the tokens by falling count, so the lowest ids are the most frequent
-tokens. Those, up to a bound, form a lookup that travels with the job and is
-read inside each row, without a shuffle. Only where a vocabulary is larger than
-the bound are the other, by then rare, tokens looked up by a join.
+tokens. Some ten thousand of those form a lookup that travels with the job and is
+read inside each row, without a shuffle. The others, by then rare, are looked up by
+a join. Both always take part, whatever the size of the vocabulary, and rows are
+told apart by a number of their own, so repeated or missing keys do no harm.
 """
 
 from pyspark.sql import functions as F
 
 from gradeloom import constants as C
 from gradeloom.operators.ordering import number_rows
+from gradeloom.sources.staging import stage
 
-LOOKUP_TOKENS = 200_000
-LOOKUP_BYTES = 16 * 1024 * 1024
+LOOKUP_TOKENS = 30_000
+LOOKUP_BYTES = 2 * 1024 * 1024
 UNKNOWN_ID = -1
 UNKNOWN_TOKEN = "�"
 
@@ -28,11 +30,11 @@ def build_vocabulary(df, tokens="tokens"):
         .agg(F.count("*").alias("count"))
     )
     ranked = number_rows(counts, [F.desc("count"), F.asc("token")], name="_rank")
-    return ranked.select("token", (F.col("_rank") - 1).cast("int").alias("id"), "count")
+    return ranked.select("token", (F.col("_rank") - 1).cast("long").alias("id"), "count")
 
 
 def lookup_size(vocabulary, max_tokens=LOOKUP_TOKENS, max_bytes=LOOKUP_BYTES):
-    """``(size, total)``: how many of the lowest ids fit the bounded lookup."""
+    """How many of the lowest ids the bounded lookup holds."""
     sizes = [max_tokens >> shift for shift in range(0, 20, 4) if max_tokens >> shift]
     held = [
         F.sum(F.when(F.col("id") < size, F.octet_length("token"))).alias(f"bytes_{size}")
@@ -41,8 +43,8 @@ def lookup_size(vocabulary, max_tokens=LOOKUP_TOKENS, max_bytes=LOOKUP_BYTES):
     row = vocabulary.agg(F.count("*").alias("total"), *held).first()
     for size in sizes:
         if (row[f"bytes_{size}"] or 0) <= max_bytes:
-            return min(size, row["total"]), row["total"]
-    return 0, row["total"]
+            return min(size, row["total"])
+    return 0
 
 
 def once(value):
@@ -86,87 +88,71 @@ def _lookup_by_id(vocabulary, size):
     packed = vocabulary.where(F.col("id") < size).agg(
         F.sort_array(F.collect_list(F.struct("id", "token")))["token"].alias("lookup")
     )
-    return packed, F.get
+    return packed, lambda lookup, item: F.get(lookup, item.cast("int"))
 
 
-def _replace_items(df, key, items, name, lookup, find, table, on, value, missing):
+def _replace_items(df, items, name, lookup, find, table, on, value, missing):
     """Replace every array item by what ``find`` gives and, failing that, by a join.
 
-    The lookup is a scalar subquery, one value held once per task. The optimizer
-    puts it straight into the expression that reads it, provided the other
-    columns come from below a generator; merged with the step that makes the
-    items, it would instead be copied into every row.
+    The rows are written out with a number each. The lookup is a scalar subquery,
+    one value held once per task. Rows keep what the lookup found; only the items it
+    lacks are joined. They are the rare ones, so no key of this join is hot. Both
+    halves come with their places and are merged in order.
     """
     missing = F.lit(missing)
-    apart = df.withColumn("_items", once(items)).drop(items)
-    bound = apart.withColumnRenamed("_items", items).withColumn("_lookup", lookup.scalar())
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "items")
+    bound = rows.select("_row", items).withColumn("_lookup", lookup.scalar())
 
     def found(item):
         return find(F.col("_lookup"), item)
 
-    if table is None:
-        replaced = F.transform(items, lambda x: F.coalesce(found(x), missing))
-        rows = bound.withColumn("_replaced", replaced).drop("_lookup")
-        return rows.withColumn(name, once("_replaced")).drop("_replaced")
-    # Rows keep what the lookup found; only the tokens it lacks are joined. They
-    # are the rare ones, so no key of this join is hot. Both halves come with
-    # their places and are merged in order.
-    places = F.transform(
-        items, lambda x, at: F.struct(at.alias("at"), found(x).alias("hit"))
-    )
-    lacking = F.transform(
-        items,
-        lambda x, at: F.when(
-            found(x).isNull(), F.struct(at.alias("at"), x.alias("item"))
-        ),
-    )
+    hits = F.transform(items, lambda x, at: F.struct(at.alias("at"), found(x).alias("hit"), x.alias("item")))
+    placed = stage(bound.select("_row", hits.alias("_places")), "placed-items")
+    lacking = F.filter("_places", lambda place: place["hit"].isNull())
     rest = table.select(F.col(on).alias("_item"), F.col(value).alias("_value"))
     joined = (
-        bound.select(key, F.array_compact(lacking).alias("_lacking"))
-        .select(key, F.explode_outer("_lacking").alias("_lack"))
+        placed.select("_row", lacking.alias("_lacking"))
+        .select("_row", F.explode_outer("_lacking").alias("_lack"))
         .where("_lack IS NOT NULL")
-        .select(key, F.col("_lack.at").alias("_at"), F.col("_lack.item").alias("_item"))
+        .select("_row", F.col("_lack.at").alias("_at"), F.col("_lack.item").alias("_item"))
         .join(rest, "_item", "left")
-        .groupBy(key)
+        .groupBy("_row")
         .agg(
             F.collect_list(
                 F.struct(F.col("_at").alias("at"), F.coalesce("_value", missing).alias("hit"))
             ).alias("_joined")
         )
     )
-    hits = bound.withColumn("_places", places).drop("_lookup").join(joined, key, "left")
-    known = F.filter("_places", lambda place: place["hit"].isNotNull())
-    merged = F.sort_array(F.concat(known, F.coalesce("_joined", F.array())))
-    rows = hits.withColumn("_replaced", merged["hit"]).drop("_places", "_joined")
-    return rows.withColumn(name, once("_replaced")).drop("_replaced")
+    known = F.transform(
+        F.filter("_places", lambda place: place["hit"].isNotNull()),
+        lambda place: F.struct(place["at"].alias("at"), place["hit"].alias("hit")),
+    )
+    merged = F.sort_array(F.concat(known, F.coalesce("_joined", F.array())))["hit"]
+    replaced = placed.join(joined, "_row", "left").select("_row", once(merged).alias(name))
+    return rows.drop(name).join(replaced, "_row").drop("_row")
 
 
-def encode(df, vocabulary, key, tokens="tokens", name="ids", max_tokens=LOOKUP_TOKENS):
-    """Add the ids of a token array; ``key`` identifies a row of ``df``."""
-    size, total = lookup_size(vocabulary, max_tokens)
+def encode(df, vocabulary, tokens="tokens", name="ids", max_tokens=LOOKUP_TOKENS):
+    """Add the ids of a token array (null for a null one)."""
+    size = lookup_size(vocabulary, max_tokens)
     lookup, find = _lookup_by_token(vocabulary, size)
-    rest = None if size == total else vocabulary.where(F.col("id") >= size)
-    return _replace_items(
-        df, key, tokens, name, lookup, find, rest, "token", "id", UNKNOWN_ID
-    )
+    rest = vocabulary.where(F.col("id") >= size)
+    return _replace_items(df, tokens, name, lookup, find, rest, "token", "id", UNKNOWN_ID)
 
 
 def decode(
     df,
     vocabulary,
-    key,
     ids="ids",
     name="decoded",
     skip_special_tokens=False,
     max_tokens=LOOKUP_TOKENS,
 ):
     """Add the text of an id array, with or without the special tokens."""
-    size, total = lookup_size(vocabulary, max_tokens)
+    size = lookup_size(vocabulary, max_tokens)
     lookup, find = _lookup_by_id(vocabulary, size)
-    rest = None if size == total else vocabulary.where(F.col("id") >= size)
-    rows = _replace_items(
-        df, key, ids, "_tokens", lookup, find, rest, "id", "token", UNKNOWN_TOKEN
-    )
+    rest = vocabulary.where(F.col("id") >= size)
+    rows = _replace_items(df, ids, "_tokens", lookup, find, rest, "id", "token", UNKNOWN_TOKEN)
     kept = F.col("_tokens")
     if skip_special_tokens:
         kept = F.filter(kept, lambda token: ~token.isin(C.SPECIAL_TOKENS))

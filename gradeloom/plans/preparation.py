@@ -43,7 +43,7 @@ def training_table(examples, max_length=None):
     """``(example_id, split, ids, labels)``; ids count the given examples' tokens."""
     rows = training_tokens(examples)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    encoded = V.encode(rows, words, "example_id")
+    encoded = V.encode(rows, words)
     masked = masking.add_loss_mask(encoded, marker_ids(words))
     if max_length is not None:
         masked = masked.withColumns(

@@ -25,28 +25,47 @@ RUN_LOG_FILE = (
 )
 
 
-def spread(df):
-    """Rows over all cores when a scan has fewer tasks than there are cores.
+def read_table(spark, path):
+    """A Parquet table."""
+    return spark.read.parquet(path)
+
+
+def _elements(spark, path, schema):
+    """Elements of the JSON arrays in ``path`` with their 0-based place in the file.
 
-    A small table is one file with one row group and so one task, however much
-    work each row is. A large table has more tasks than cores and is left alone.
+    An array is one value, which one task has to parse; large inputs belong in JSON
+    Lines, which split.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    files = spark.read.text(path, wholetext=True)
+    fields = [field.split(" ", 1) for field in schema.split(", ")]
+    names = ", ".join(f"try_variant_get(element, '$.{name}', '{kind}') AS {name}" for name, kind in fields)
+    return spark.sql(
+        f"SELECT CAST(pos AS BIGINT) AS _place, {names} "
+        "FROM {files} AS f, LATERAL variant_explode(parse_json(f.value)) AS e(pos, key, element)",
+        files=files,
+    )
 
 
-def read_table(spark, path):
-    """A Parquet table, spread over all cores."""
-    return spread(spark.read.parquet(path))
+def _keyed_rows(spark, path, schema, key, multi_line):
+    """Rows with a key: that of the element, or in an array its place.
+
+    A row of JSON Lines has no place that survives a split, so it must have a key.
+    """
+    if multi_line:
+        rows = _elements(spark, path, schema)
+        return rows.withColumn(key, F.coalesce(key, "_place")).drop("_place")
+    rows = spark.read.schema(schema).json(path)
+    missing = F.raise_error(F.lit(f"a line has no {key}")).cast("long")
+    return rows.withColumn(key, F.when(F.col(key).isNull(), missing).otherwise(F.col(key)))
 
 
 def read_examples(spark, path, multi_line=False):
     """Training examples: ``(example_id, instruction, input, output_raw, output)``.
 
-    ``multi_line=True`` reads a pretty-printed JSON array, which one task has to
-    parse; large inputs belong in JSON Lines, which split.
+    ``multi_line=True`` reads pretty-printed JSON arrays; elements without an id get
+    their place in the array, from 0.
     """
-    rows = spark.read.schema(EXAMPLE_FILE).json(path, multiLine=multi_line)
+    rows = _keyed_rows(spark, path, EXAMPLE_FILE, "example_id", multi_line)
     return rows.select(
         "example_id",
         "instruction",
@@ -57,11 +76,19 @@ def read_examples(spark, path, multi_line=False):
 
 
 def read_eval_cases(spark, path, multi_line=False):
-    """Held-out cases: the failure text and the three expected answers."""
-    return spark.read.schema(CASE_FILE).json(path, multiLine=multi_line)
+    """Held-out cases: the failure text and the three expected answers.
+
+    Cases of a JSON array without an id get their place in it, from 0.
+    """
+    return _keyed_rows(spark, path, CASE_FILE, "case_id", multi_line)
 
 
 def read_run_log(spark, path, multi_line=False):
-    """Training run logs, one row per run, with the file each came from."""
+    """Training run logs, one row per run, with the file each came from.
+
+    Trainers write a file per run and no id; the run is then named by a hash of the
+    file's path.
+    """
     rows = spark.read.schema(RUN_LOG_FILE).json(path, multiLine=multi_line)
-    return rows.withColumn("source_file", F.input_file_name())
+    rows = rows.withColumn("source_file", F.input_file_name())
+    return rows.withColumn("run_id", F.coalesce("run_id", F.xxhash64("source_file")))

@@ -1,18 +1,21 @@
 """Tables written to the shared folder, to pin a result and cut its lineage."""
 
+import re
 import tempfile
 import uuid
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_SINGLE_PROCESS = re.compile(r"local(\[[\d*,]+\])?")
 _LOCAL_FOLDERS = {}
+_STAGED = {}
 
 
 def staging_dir(spark):
-    """Shared folder named by the session; a local run gets one of its own."""
+    """Shared folder named by the session; a single-process run gets one of its own."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not _SINGLE_PROCESS.fullmatch(spark.conf.get("spark.master", "")):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_FOLDERS:
@@ -32,4 +35,13 @@ def stage(df, name):
     """
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
+    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark):
+    """Delete the tables staged so far, once no result reads them any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -5,7 +5,6 @@ batch operators serve a stream as they are; only the reading and writing differ.
 """
 
 from gradeloom.operators import quality, responses
-from gradeloom.sources.staging import staging_path
 
 RESPONSE_FILE = "response_id long, case_id long, model string, response string"
 
@@ -15,13 +14,14 @@ def read_responses(spark, path):
     return spark.readStream.schema(RESPONSE_FILE).json(path)
 
 
-def write_analyses(stream, path):
+def write_analyses(stream, path, progress):
     """Start to write the analysis of each response; returns the running query.
 
     The trigger takes what is there and stops, so that a schedule can call it.
+    ``progress`` is the shared folder that remembers what was taken: always the same
+    one for an output, and for no other.
     """
     analyses = quality.add_structure_validity(responses.extract_analysis(stream))
-    progress = staging_path(stream.sparkSession, "stream-progress")
     return (
         analyses.writeStream.format("parquet")
         .option("path", path)

@@ -52,25 +52,32 @@ def rendered_by_hand(messages, generation=False):
     return out + (C.GENERATION_PROMPT if generation else "")
 
 
-@pytest.mark.parametrize("part_turns", [1, 2, 3, 4096])
 @pytest.mark.parametrize("generation", [False, True])
-def test_parts_join_to_the_whole(spark, part_turns, generation):
+@pytest.mark.parametrize("first_turn, step", [(0, 1), (1, 1), (5, 3)])
+def test_conversations(spark, generation, first_turn, step):
+    """The order of the turns counts, not where it starts or what it skips."""
     rows, df = turns(spark)
-    out = conversations.render_conversations(df, generation, True, part_turns)
-    found = defaultdict(dict)
-    for row in out.collect():
-        assert row["part"] not in found[row["conv_id"]]
-        found[row["conv_id"]][row["part"]] = row["rendered"]
+    df = df.withColumn("turn", F.col("turn") * step + first_turn)
+    out = conversations.render_conversations(df, generation, True)
+    found = {row["conv_id"]: row["rendered"] for row in out.collect()}
     for conv in ROLES:
         messages = [r[2:] for r in rows if r[0] == conv]
-        whole = "".join(text for _, text in sorted(found[conv].items()))
-        assert whole == rendered_by_hand(messages, generation)
+        assert found[conv] == rendered_by_hand(messages, generation)
 
 
-def test_parts_hold_a_bounded_number_of_turns(spark):
-    _, df = turns(spark)
-    parts = conversations.conversation_parts(df, 2, neighbours=True)
-    assert parts.agg(F.max(F.size("messages"))).first()[0] <= 4
+def test_tools_header_stands_for_the_system_message(spark):
+    rows, df = turns(spark)
+    tools = F.array(F.lit('{"a": 1}'))
+    out = conversations.render_conversations(df, True, True, tools)
+    found = {row["conv_id"]: row["rendered"] for row in out.collect()}
+    for conv in ROLES:
+        messages = [r[2:] for r in rows if r[0] == conv]
+        own = messages[0][0] == "system"
+        given = rendered_by_hand(messages, True)
+        head = f"<|im_start|>system\n{messages[0][1] if own else C.DEFAULT_SYSTEM}"
+        rest = given[len(head + "<|im_end|>\n"):]
+        assert found[conv].startswith(head + "\n\n# Tools") and found[conv].endswith(rest)
+        assert found[conv].count("<|im_start|>") == given.count("<|im_start|>")
 
 
 def test_row_rendering(spark):

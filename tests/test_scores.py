@@ -66,8 +66,47 @@ def test_no_match_and_duplicate_cases(spark):
         "case_id int, expected_category string, expected_root_cause string, "
         "expected_recommendation string",
     )
-    rows = evaluation.score_cases(analyses, cases).collect()
-    assert sorted(r["category_correct"] for r in rows) == [False, True]
+    scored = evaluation.score_cases(analyses, cases)
+    assert sorted(r["category_correct"] for r in scored.collect()) == [False, False, True]
+    assert [r["case_id"] for r in evaluation.unmatched_answers(analyses, cases).collect()] == [9]
+    four = spark.createDataFrame([(n, "A", "x", "y") for n in range(1, 5)], cases.schema)
+    one = analyses.where("category = 'A' AND case_id = 1")
+    accuracy = evaluation.category_accuracy(evaluation.score_cases(one, four)).first()
+    assert (accuracy["cases"], accuracy["category_accuracy"]) == (4, 25.0)
+
+
+def test_places_go_by_order(spark):
+    df = spark.createDataFrame([(10, "a"), (30, "c"), (20, "b")], "example_id int, category string")
+    listing = {r["number"]: r["category"] for r in profile.category_listing(df).collect()}
+    assert listing == {1: "a", 2: "b", 3: "c"}
+    held = splits.split_by_position(df).where("split = 'validation'").collect()
+    assert [r["example_id"] for r in held] == [20]
+
+
+@pytest.mark.parametrize("slice_size", [1, 2, 3, 100])
+def test_masked_logits(spark, slice_size):
+    rows = list(enumerate([1.0, 2.0, float("-inf"), float("-inf")]))
+    df = spark.createDataFrame([(1, c, x) for c, x in rows], "group_id int, candidate_id int, logit double")
+    got = {r["candidate_id"]: r["probability"] for r in probability.softmax_long(df, slice_size=slice_size).collect()}
+    assert [round(got[i], 6) for i in range(4)] == [0.268941, 0.731059, 0.0, 0.0]
+
+
+def test_a_model_loads_once_per_process(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def factory():
+        import os
+        import uuid
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        return lambda texts: [[1.0] for _ in texts]
+
+    df = spark.range(0, 400, 1, 40).select(F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("t"))
+    rows = inference.embed(df, "t", factory).collect()
+    assert sum(r["embedding"] is None for r in rows) == sum(r["t"] is None for r in rows) > 0
+    assert 1 <= len(list(tmp_path.iterdir())) <= spark.sparkContext.defaultParallelism
+    with pytest.raises(Exception, match="answers to"):
+        inference.embed(df, "t", lambda: lambda texts: []).collect()
 
 
 def test_side_by_side(spark):
@@ -168,7 +207,7 @@ def test_summary_and_ratio(spark):
     assert ratios == {2: (2, 2, 1.0), 1: (0, 1, None), 3: (0, 0, None)}
 
 
-def test_models_load_once_per_task_and_see_batches(spark):
+def test_models_see_batches(spark):
     def factory():
         calls = []
 

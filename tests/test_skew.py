@@ -49,14 +49,14 @@ def test_hot_case_is_split_by_the_join(spark, capsys):
             F.max("root_cause").alias("a"),
             F.max("expected_root_cause").alias("b"),
         )
-        assert summary.collect()[0]["n"] == 200_000
+        assert summary.collect()[0]["n"] == 300_000
         capsys.readouterr()
         summary.explain()
         assert "skew=true" in capsys.readouterr().out
 
 
 def test_hot_conversation(spark):
-    """A conversation of many parts: bounded groups, whole text, right labels."""
+    """A very long conversation: whole text, right labels."""
     size = 20_000
     turns = spark.range(0, size, 1, 4).select(
         F.lit(1).cast("long").alias("conv_id"),
@@ -64,11 +64,7 @@ def test_hot_conversation(spark):
         F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
         F.concat(F.lit("t"), "id").alias("text"),
     )
-    parts = conversations.conversation_parts(turns)
-    assert parts.agg(F.max(F.size("messages"))).first()[0] == conversations.PART_TURNS
-    rows = conversations.render_conversations(turns).orderBy("part").collect()
-    whole = "".join(r["rendered"] for r in rows)
-    assert len(rows) == -(-size // conversations.PART_TURNS)
+    whole = conversations.render_conversations(turns).first()["rendered"]
     assert whole.count("<|im_start|>system") == 1
     assert whole.endswith(f"<|im_start|>assistant\nt{size - 1}<|im_end|>\n")
     uses = conversations.label_turns(turns).groupBy("use").count().collect()
@@ -106,6 +102,6 @@ def test_hot_token(spark):
     rows = texts.withColumn("tokens", T.tokenize(F.col("text")))
     words = stage(vocabulary.build_vocabulary(rows), "vocabulary")
     assert words.orderBy("id").first()["count"] == 6000
-    encoded = vocabulary.encode(rows, words, "id", max_tokens=2)
-    decoded = vocabulary.decode(encoded, words, "id", max_tokens=2)
+    encoded = vocabulary.encode(rows, words, max_tokens=2)
+    decoded = vocabulary.decode(encoded, words, max_tokens=2)
     assert decoded.where("decoded <> text").count() == 0 and decoded.count() == 3000

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from gradeloom.operators import quality
+from gradeloom.operators import quality, runlog
 from gradeloom.sources import readers, staging, writers
 from gradeloom.streaming import responses as stream
 
@@ -41,6 +41,33 @@ def test_eval_cases_and_run_log(spark, tmp_path):
     assert [e["loss"] for e in row["log_history"]] == [2.5, None]
 
 
+def test_files_without_ids(spark, tmp_path):
+    rows = [{"instruction": f"i{n}", "input": "x", "output": OUTPUT} for n in range(3)]
+    (tmp_path / "rows.json").write_text(json.dumps(rows, indent=2))
+    df = readers.read_examples(spark, str(tmp_path / "rows.json"), multi_line=True)
+    assert {r.example_id: r.instruction for r in df.collect()} == {0: "i0", 1: "i1", 2: "i2"}
+    cases = [{"input": f"c{n}", "expected_category": "A"} for n in range(2)]
+    (tmp_path / "cases.json").write_text(json.dumps(cases))
+    found = readers.read_eval_cases(spark, str(tmp_path / "cases.json"), True).collect()
+    assert {r.case_id: r.input for r in found} == {0: "c0", 1: "c1"}
+    (tmp_path / "lines.json").write_text(json.dumps(cases[0]))
+    with pytest.raises(Exception, match="a line has no case_id"):
+        readers.read_eval_cases(spark, str(tmp_path / "lines.json")).collect()
+
+
+def test_run_logs_without_ids_stay_apart(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for name in "ab":
+        history = [{"step": s, "epoch": float(s), "eval_loss": 1.0} for s in range(1, 5)]
+        (logs / f"{name}.json").write_text(json.dumps({"epoch": 4.0, "log_history": history}))
+    entries = runlog.flatten_run_log(readers.read_run_log(spark, str(logs), True))
+    assert entries.select("run_id", "source_file").distinct().count() == 2
+    kept = runlog.retain_checkpoints(entries.select("run_id", "step"))
+    assert sorted(r.step for r in kept.collect()) == [3, 3, 4, 4]
+    assert runlog.epoch_summary(entries).count() == 8
+
+
 @pytest.mark.parametrize("file_format", ["parquet", "json"])
 def test_write_splits(spark, tmp_path, file_format):
     df = spark.range(100).withColumn("split", F.when(F.col("id") < 20, "validation").otherwise("train"))
@@ -75,13 +102,6 @@ def test_staging_folder(spark, monkeypatch):
         staging.staging_dir(Cluster)
 
 
-def test_spread(spark):
-    small = readers.spread(spark.range(10).coalesce(1))
-    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert readers.spread(wide) is wide
-
-
 def test_stream(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
@@ -89,8 +109,15 @@ def test_stream(spark, tmp_path):
     rows = [{"response_id": 1, "case_id": 1, "model": "m", "response": answer},
             {"response_id": 2, "case_id": 2, "model": "m", "response": "nothing"}]
     (source / "1.json").write_text("\n".join(map(json.dumps, rows)))
-    query = stream.write_analyses(stream.read_responses(spark, str(source)), str(tmp_path / "out"))
-    assert query.awaitTermination(120)
+    for run in range(3):  # each run takes what is new, and nothing twice
+        if run:
+            row = {"response_id": run * 10, "case_id": 1, "model": "m", "response": answer}
+            (source / f"{run}0.json").write_text(json.dumps(row))
+        query = stream.write_analyses(
+            stream.read_responses(spark, str(source)), str(tmp_path / "out"), str(tmp_path / "progress")
+        )
+        assert query.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
     found = {r["response_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert found[1]["is_valid"] and found[1]["category"] == "DATA_ERROR"
     assert not found[2]["is_valid"] and found[2]["category"] is None

@@ -50,12 +50,12 @@ def test_vocabulary(rows, words):
     assert [r["id"] for r in words.orderBy("id").collect()] == list(range(len(order)))
 
 
-@pytest.mark.parametrize("max_tokens", [200_000, 5, 1])
+@pytest.mark.parametrize("max_tokens", [200_000, 5, 3, 1])
 def test_encode_and_decode(rows, words, max_tokens):
     """The lookup alone, and most tokens through the join."""
     ids = {r["token"]: r["id"] for r in words.collect()}
-    encoded = V.encode(rows, words, "n", max_tokens=max_tokens)
-    decoded = V.decode(encoded, words, "n", max_tokens=max_tokens)
+    encoded = V.encode(rows, words, max_tokens=max_tokens)
+    decoded = V.decode(encoded, words, max_tokens=max_tokens)
     found = decoded.collect()
     assert len(found) == len(TEXTS)
     for row in found:
@@ -67,18 +67,32 @@ def test_a_long_token_shrinks_the_lookup(spark):
     df = spark.createDataFrame(
         [("a", 0, 3), ("x" * 500, 1, 2), ("b", 2, 1)], "token string, id int, count long"
     )
-    assert V.lookup_size(df, 16, max_bytes=1000) == (3, 3)
-    assert V.lookup_size(df, 16, max_bytes=100) == (1, 3)
+    assert V.lookup_size(df, 16, max_bytes=1000) == 3
+    assert V.lookup_size(df, 16, max_bytes=100) == 1
+
+
+@pytest.mark.parametrize("max_tokens", [200_000, 3, 2, 1])
+def test_repeated_and_missing_keys(spark, max_tokens):
+    texts = [(1, "a a rare1 b"), (1, "a rare2 rare2"), (None, "a rare3"), (None, None)]
+    df = spark.createDataFrame(texts, "k int, text string")
+    df = df.withColumn("tokens", T.tokenize(F.col("text")))
+    words = stage(V.build_vocabulary(df), "vocabulary")
+    encoded = V.encode(df, words, max_tokens=max_tokens)
+    found = V.decode(encoded, words, max_tokens=max_tokens).collect()
+    assert sorted((r["text"], r["decoded"]) for r in found if r["text"]) == sorted(
+        (t, t) for _, t in texts if t
+    )
+    assert len(found) == 4
 
 
 @pytest.mark.parametrize("max_tokens", [200_000, 3])
 def test_unknown_and_special(spark, rows, words, max_tokens):
     new = spark.createDataFrame([(1, ["the", "never seen"]), (2, None)], "n int, tokens array<string>")
-    found = {r["n"]: r["ids"] for r in V.encode(new, words, "n", max_tokens=max_tokens).collect()}
+    found = {r["n"]: r["ids"] for r in V.encode(new, words, max_tokens=max_tokens).collect()}
     assert found[1][1] == V.UNKNOWN_ID and found[1][0] >= 0
     assert found[2] is None
-    encoded = V.encode(rows, words, "n")
-    plain = V.decode(encoded, words, "n", skip_special_tokens=True, max_tokens=max_tokens)
+    encoded = V.encode(rows, words)
+    plain = V.decode(encoded, words, skip_special_tokens=True, max_tokens=max_tokens)
     text = {r["n"]: r["decoded"] for r in plain.collect()}[3]
     assert text == "assistant\nhello \n x y"
 
@@ -118,7 +132,7 @@ def test_loss_mask_strict_and_end_marker(spark):
     labels = masking.add_loss_mask(df, MARK, end_marker=5).first()["labels"]
     assert labels == [-100] * 7 + [4, 5, -100, -100]
     bad = spark.createDataFrame([(1, [1, 2])], "n int, ids array<int>")
-    with pytest.raises(PySparkException, match="assistant response boundary"):
+    with pytest.raises(PySparkException, match="no assistant turn"):
         masking.add_loss_mask(bad, MARK, strict=True).collect()
 
 
