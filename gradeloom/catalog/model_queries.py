@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gradeloom import constants as C
 from gradeloom.catalog import sql as S
 from gradeloom.catalog.fixtures import duckdb_ctes, fixture, table
+from gradeloom.catalog.models import letter_profile
 from gradeloom.catalog.registry import query
 from gradeloom.catalog.response_queries import comparison_sql, shown
 from gradeloom.functions import chat
@@ -57,20 +58,6 @@ def rule_judge():
     return factory
 
 
-def letter_profile():
-    """A factory: a text's share of each letter from a to z."""
-
-    def factory():
-        def vector(text):
-            counts = [text.count(chr(97 + k)) for k in range(26)]
-            total = float(sum(counts)) or 1.0
-            return [count / total for count in counts]
-
-        return lambda texts: [vector(text) for text in texts]
-
-    return factory
-
-
 def _answer_sql(label):
     return (
         f"'Category: ' || {label} || chr(10) || 'Root cause: ' || input || chr(10)"

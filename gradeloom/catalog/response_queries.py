@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from gradeloom import constants as C
 from gradeloom.catalog import sql as S
 from gradeloom.catalog.fixtures import MODELS, duckdb_ctes, fixture, table
+from gradeloom.catalog.models import letter_profile
 from gradeloom.catalog.registry import query
 from gradeloom.functions import extract, judge, text
 from gradeloom.operators import evaluation, judging, quality, responses, similarity
@@ -185,44 +186,29 @@ def rank_candidates(spark, sf_dir):
     return similarity.rank_candidates(pairs)
 
 
-def with_embeddings(rows, spark, sf_dir):
-    """Embeddings of both predicted and both expected fields.
-
-    They come from ``embeddings``: each vector is used by many cases, which is
-    how a table of precomputed text embeddings is joined.
-    """
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    total = vectors.agg(F.count("*")).scalar()
-    for shift, name in enumerate(
-        ["predicted_root_cause", "expected_root_cause"]
-        + ["predicted_recommendation", "expected_recommendation"]
-    ):
-        wanted = vectors.select(
-            F.col("vec_id").alias(f"_{name}"), F.col("embedding").alias(f"{name}_embedding")
-        )
-        rows = rows.withColumn(f"_{name}", (F.col("case_id") * 7 + shift) % total)
-        rows = rows.join(wanted, f"_{name}").drop(f"_{name}")
-    return rows
+def _profile(column):
+    """A text's share of each letter from a to z, as ``letter_profile`` gives it."""
+    letters = f"list_transform(range(97, 123), lambda k: length({column}) - length(replace({column}, chr(CAST(k AS INTEGER)), '')))"
+    return (
+        f"(SELECT list_transform(l, lambda n: CAST(n / greatest(list_sum(l), 1) AS FLOAT))"
+        f" FROM (SELECT {letters} AS l) AS counted)"
+    )
 
 
 _SIMILAR = (
     _SCORED[:-1]
     + f""",
-compared AS (SELECT s.*,
- CASE WHEN is_valid THEN {_COSINE.format('a.embedding', 'b.embedding')} END AS root_cause_similarity,
- CASE WHEN is_valid THEN {_COSINE.format('c.embedding', 'd.embedding')} END AS recommendation_similarity
- FROM scored s CROSS JOIN (SELECT count(*) AS n FROM embeddings) AS e
- JOIN embeddings a ON a.vec_id = (case_id * 7) % n
- JOIN embeddings b ON b.vec_id = (case_id * 7 + 1) % n
- JOIN embeddings c ON c.vec_id = (case_id * 7 + 2) % n
- JOIN embeddings d ON d.vec_id = (case_id * 7 + 3) % n)
+profiled AS (SELECT *, {_profile('root_cause')} AS a, {_profile('expected_root_cause')} AS b,
+ {_profile('recommendation')} AS c, {_profile('expected_recommendation')} AS d FROM scored),
+compared AS (SELECT *, CASE WHEN is_valid THEN {_COSINE.format('a', 'b')} END AS root_cause_similarity,
+ CASE WHEN is_valid THEN {_COSINE.format('c', 'd')} END AS recommendation_similarity FROM profiled)
 """
 )
 
 
 def similar(spark, sf_dir):
-    rows = scored(spark, sf_dir).select("response_id", "case_id", "model", "is_valid")
-    return similarity.field_similarity(with_embeddings(rows, spark, sf_dir))
+    """Similarity of what the models wrote to what was expected, from the texts."""
+    return similarity.text_similarity(scored(spark, sf_dir), letter_profile())
 
 
 @query(
@@ -348,6 +334,47 @@ def mean_similarity(spark, sf_dir):
     return _rounded(evaluation.mean_similarity(similar(spark, sf_dir)), *_MEANS)
 
 
+_SIMILARITY_SUMMARY = """SELECT model,
+ avg(CAST(category_correct AS DOUBLE)) * 100 AS category_accuracy,
+ avg(CAST(is_valid AS DOUBLE)) * 100 AS structure_validity,
+ coalesce(avg(root_cause_similarity), 0.0) AS avg_root_cause_similarity,
+ coalesce(avg(recommendation_similarity), 0.0) AS avg_recommendation_similarity
+ FROM compared GROUP BY model"""
+_SIMILARITY_METRICS = [
+    "category_accuracy", "structure_validity", "avg_root_cause_similarity",
+    "avg_recommendation_similarity",
+]
+
+
+@query(
+    "similarity_summary",
+    _SIMILAR
+    + "SELECT model, "
+    + ", ".join(f"round({m}, 6) AS {m}" for m in _SIMILARITY_METRICS)
+    + f" FROM ({_SIMILARITY_SUMMARY}) AS s",
+)
+def similarity_summary(spark, sf_dir):
+    rows = evaluation.similarity_summary(similar(spark, sf_dir))
+    return _rounded(rows, *_SIMILARITY_METRICS)
+
+
+@query(
+    "similarity_comparison",
+    _SIMILAR
+    + "SELECT metric, round(base, 4) AS base, round(tuned, 4) AS tuned FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, max({m}) FILTER (WHERE model = 'base') AS base, "
+        f"max({m}) FILTER (WHERE model = 'tuned') AS tuned FROM ({_SIMILARITY_SUMMARY}) AS s"
+        for m in _SIMILARITY_METRICS
+    )
+    + ") AS c",
+)
+def similarity_comparison(spark, sf_dir):
+    summary = evaluation.similarity_summary(similar(spark, sf_dir))
+    rows = evaluation.metric_comparison(summary, "base", "tuned")
+    return rows.select("metric", F.round("base", 4).alias("base"), F.round("tuned", 4).alias("tuned"))
+
+
 @query(
     "mean_judge_score",
     _JUDGED

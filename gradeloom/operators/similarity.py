@@ -3,7 +3,11 @@
 from pyspark.sql import functions as F
 
 from gradeloom.functions.vectors import cosine
+from gradeloom.operators.inference import embed
 from gradeloom.operators.ordering import number_rows
+from gradeloom.sources.staging import stage
+
+FIELDS = ["root_cause", "recommendation"]
 
 
 def add_cosine(df, left, right, name="similarity"):
@@ -30,3 +34,23 @@ def field_similarity(df, valid="is_valid"):
             "recommendation_similarity": of("recommendation_embedding"),
         }
     )
+
+
+def text_similarity(df, factory, valid="is_valid", fields=FIELDS):
+    """Similarity of each predicted field's text to the expected one, on valid rows.
+
+    ``factory`` gives an embedding model. Each distinct text is embedded once; a pair of
+    vectors is dropped as soon as its cosine is known. A null text has no similarity.
+    """
+    sides = [f"{prefix}{field}" for field in fields for prefix in ("", "expected_")]
+    texts = df.where(F.col(valid)).select(F.explode(F.array(*sides)).alias("_text"))
+    texts = texts.where("_text IS NOT NULL").distinct()
+    vectors = stage(embed(texts, "_text", factory, "_vector"), "text-vectors")
+    for field in fields:
+        for side in ("", "expected_"):
+            own = vectors.toDF(f"_{side}text", f"_{side}vector")
+            text = F.when(F.col(valid), F.col(f"{side}{field}"))
+            df = df.withColumn(f"_{side}text", text).join(own, f"_{side}text", "left")
+        df = add_cosine(df, "_vector", "_expected_vector", f"{field}_similarity")
+        df = df.drop("_text", "_vector", "_expected_text", "_expected_vector")
+    return df

@@ -14,6 +14,7 @@ QUERIES = {
     if not re.match(r"op\d+_|pipeline$", name)
 }
 USES_A_MODEL = {"predict", "judge", "embed", "judged_evaluation", "judged_comparison"}
+
 PYTHON_NODES = re.compile("BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroups")
 
 
