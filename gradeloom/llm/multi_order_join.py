@@ -2,8 +2,9 @@
 
 Tokens are 64-bit numbers of word shingles. Ordering them by different mixings of the
 number gives several global orders. Two sets that are similar enough share a token
-among the first few of each under *every* order: the first order finds candidates, the
-others must agree before a pair is verified on the whole sets.
+among the first few of each under *every* order. The first order, which puts frequent
+tokens last, finds candidates; they must share several tokens of slightly longer
+prefixes. The other orders must agree before a pair is verified on the whole sets.
 
 Sets that are equal are one set from the start. Tokens in the prefixes of very many
 sets (a passage that a third of the texts hold) would pair all of them, so sets with
@@ -22,14 +23,14 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm.catalog import query
 from gradeloom.llm.components import components
-from gradeloom.llm.filters import split
+from gradeloom.llm.filters import filter_of, held, split
 from gradeloom.llm.tables import read
 from gradeloom.sources.staging import stage
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ORDERS = [np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
-#: Orders whose prefixes are joined; pairs found by all of them are checked by the rest.
-FINDING = 2
+#: Bits of the filter that names frequent tokens.
+FREQUENT_BITS = 1 << 25
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -45,12 +46,15 @@ class Settings:
     """Similarity as a fraction of whole numbers, so that the bound is exact.
 
     Lists of up to ``short_list`` sets are paired; longer ones take the other way.
+    Prefixes are ``matches - 1`` tokens longer than they need be, so that candidates
+    have to share as many tokens as ``matches``, or all that they must share.
     """
 
     words: int = 4
     shared: int = 85
     of: int = 100
     short_list: int = 24
+    matches: int = 5
 
 
 def _powers(n):
@@ -183,44 +187,86 @@ def _lists(arrays, kind):
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_signed(values), kind))
 
 
-def _signatures(df, settings, chunk=256):
-    """id, set size, two numbers that name the set, and its prefixes under the orders
-    that find candidates."""
+def _of_sets(df, settings, make, schema, chunk=256):
+    """Rows that ``make(ids, sets)`` gives for each chunk of rows ``(id, text)``."""
 
-    def sign_batches(batches):
+    def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, chunk):
                 part = batch.slice(at, chunk)
-                sets = text_sets(_bytes_of(part.column(1)), settings.words)
-                folded = [[np.bitwise_xor.reduce(_mixed(s * m)) for s in sets] for m in _ORDERS]
-                sums = [pa.array(_signed(np.array(f, np.uint64))) for f in folded]
-                heads = [[head(s, order, settings) for s in sets] for order in range(FINDING)]
-                sizes = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sizes, *sums, *[_lists(h, pa.int64()) for h in heads]], names
-                )
+                yield make(part.column(0), text_sets(_bytes_of(part.column(1)), settings.words))
+
+    return df.select("id", "text").mapInArrow(run, schema)
+
+
+def _signatures(df, settings):
+    """id, set size and two numbers that name the set."""
 
-    names = ["id", "n", "fa", "fb", *[f"prefix{i}" for i in range(FINDING)]]
-    schema = "id long, n long, fa long, fb long" + "".join(f", prefix{i} array<long>" for i in range(FINDING))
-    return df.mapInArrow(sign_batches, schema)
+    def sign(ids, sets):
+        folded = [[np.bitwise_xor.reduce(_mixed(s * m)) for s in sets] for m in _ORDERS]
+        sums = [pa.array(_signed(np.array(f, np.uint64))) for f in folded]
+        sizes = pa.array([len(s) for s in sets], pa.int64())
+        return pa.RecordBatch.from_arrays([ids, sizes, *sums], ["id", "n", "fa", "fb"])
 
+    return _of_sets(df, settings, sign, "id long, n long, fa long, fb long")
+
+
+def _frequent(df, settings):
+    """Filter of the tokens that stand in more prefixes than a short list holds.
+
+    It is counted on prefixes somewhat longer than needed. Any filter gives a global
+    order, so neither what it misses nor what it holds by chance costs a link.
+    """
 
-def _whole_sets(df, ids, settings, chunk=256):
+    def count(ids, sets):
+        heads = [np.zeros(0, np.uint64)]
+        for s in sets:
+            if len(s):
+                heads.append(s[: (prefix_length(len(s), settings) + settings.matches) * 4 // 3])
+        tokens, n = np.unique(np.concatenate(heads), return_counts=True)
+        columns = [pa.array(_signed(tokens)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["key", "n"])
+
+    counted = _of_sets(df, settings, count, "key long, n long", 2000)
+    counted = counted.groupBy("key").agg(F.sum("n").alias("n"))
+    return filter_of(counted.where(F.col("n") > settings.short_list), "key", FREQUENT_BITS)
+
+
+def _prefixes(df, frequent, settings):
+    """(key, id, n) of the tokens in each set's prefix, frequent tokens last."""
+
+    def cut(ids, sets):
+        heads = []
+        for s in sets:
+            if len(s):
+                rare = ~held(frequent, s, FREQUENT_BITS)
+                s = np.concatenate([s[rare], s[~rare]])
+                s = s[: prefix_length(len(s), settings) + settings.matches - 1]
+            heads.append(s)
+        sizes = [len(h) for h in heads]
+        at = np.repeat(np.arange(len(sets)), sizes)
+        columns = [
+            pa.array(_signed(np.concatenate(heads))),
+            ids.take(pa.array(at)),
+            pa.array(np.array([len(s) for s in sets], np.int64)[at]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["key", "id", "n"])
+
+    return _of_sets(df, settings, cut, "key long, id long, n long")
+
+
+def _whole_sets(df, ids, settings):
     """(id, set) of the rows whose id is in ``ids``, made anew from the texts.
 
     A filter of fixed size drops most other rows before the texts are worked on; the
     join drops the rest.
     """
 
-    def set_batches(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                part = batch.slice(at, chunk)
-                sets = text_sets(_bytes_of(part.column(1)), settings.words)
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(sets, pa.int64())], ["id", "tokens"])
+    def whole(found, sets):
+        return pa.RecordBatch.from_arrays([found, _lists(sets, pa.int64())], ["id", "tokens"])
 
     _, wanted = split(df.where("id is not null").select("id", "text"), ids, "id")
-    made = wanted.mapInArrow(set_batches, "id long, tokens array<long>")
+    made = _of_sets(wanted, settings, whole, "id long, tokens array<long>")
     return stage(made.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
 
 
@@ -232,7 +278,14 @@ def _short_pairs(lists, settings):
     rest = first.select("x", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("y"))
     smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     near = rest.where(settings.of * smaller >= settings.shared * larger)
-    return near.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+    return near.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"), (smaller + larger).alias("both"))
+
+
+def _matched(pairs, settings):
+    """Pairs that share as many prefix tokens as linked ones of their sizes must."""
+    overlap = F.ceil(F.col("both") * settings.shared / (settings.shared + settings.of) - 1e-9)
+    counted = pairs.groupBy("x", "y").agg(F.count("*").alias("tokens"), F.first("both").alias("both"))
+    return counted.where(F.col("tokens") >= F.least(F.lit(settings.matches), overlap)).select("x", "y")
 
 
 def _verify(pairs, sets, settings, check_orders):
@@ -343,24 +396,17 @@ def similarity_links(df, settings=Settings()):
     heads = (
         signed.where("n > 0 and id is not null")
         .groupBy("n", "fa", "fb")
-        .agg(
-            F.min("id").alias("head"),
-            *[F.min_by(f"prefix{i}", "id").alias(f"prefix{i}") for i in range(FINDING)],
-        )
+        .agg(F.min("id").alias("head"))
     )
     heads = stage(heads, "heads")
-    candidates = crowded = None
-    for i in range(FINDING):
-        # A set's own tokens are distinct, so a list names each head once.
-        lists = heads.select(F.explode_outer(f"prefix{i}").alias("key"), F.col("head").alias("id"), "n")
-        short, long = _split(lists, settings)
-        pairs, many = _short_pairs(short, settings).distinct(), long.select("id").distinct()
-        # A pair must share a token under every order; one that shares a crowded token
-        # under any of them has two crowded sets and goes the other way.
-        candidates = pairs if candidates is None else candidates.join(pairs, ["x", "y"], "left_semi")
-        crowded = many if crowded is None else crowded.union(many)
-    candidates = stage(candidates, "candidates")
-    crowded = stage(crowded.distinct(), "crowded")
+    texts = df.select("id", "text").where("id is not null")
+    frequent = _frequent(texts, settings)
+    _, headed = split(texts, heads.select(F.col("head").alias("id")), "id", bits=1 << 25)
+    # The filter lets a few copies of a head through; their sets add nothing new.
+    short, long = _split(_prefixes(headed, frequent, settings), settings)
+    # Two sets that share a token of a long list go the other way.
+    candidates = stage(_matched(_short_pairs(short, settings), settings), "candidates")
+    crowded = stage(long.select("id").distinct(), "crowded")
     wanted = candidates.select(F.col("x").alias("id")).union(candidates.select("y")).union(crowded)
     sets = _whole_sets(df.select("id", "text"), stage(wanted.distinct(), "wanted"), settings)
     links = _verify(candidates, sets, settings, True).where("linked").select("x", "y")
@@ -368,7 +414,7 @@ def similarity_links(df, settings=Settings()):
     if not crowded.isEmpty():
         links = links.unionByName(_part_links(sets.join(crowded, "id", "left_semi"), settings))
         links = stage(links.distinct(), "links")
-    return signed.select("id", "n", "fa", "fb"), heads.select("head", "n", "fa", "fb"), links
+    return signed.select("id", "n", "fa", "fb"), heads, links
 
 
 def near_duplicates(df, settings=Settings(), key="doc_id", text="text"):
