@@ -25,6 +25,9 @@ from gradeloom.llm.tables import read
 from gradeloom.sources.staging import stage
 
 
+WINDOW_ROWS = 10_000
+
+
 @dataclass(frozen=True)
 class Settings:
     cosine: float = 0.95
@@ -109,8 +112,12 @@ def _windows(vectors, plan, settings):
     return vectors.select("id", "vector").mapInArrow(place_batches, schema)
 
 
-def _collisions(windows, settings):
-    """(x, y) for each table in which a pair collides."""
+def _collisions(windows, groups, settings):
+    """(x, y) for each table in which a pair collides.
+
+    Steps are small, so many of them, and two blocks at most of a crowded one, are
+    worked on together in each of ``groups`` groups.
+    """
     key = ["t", "cell", "step"]
     sizes = stage(windows.groupBy(*key).agg(F.count("*").alias("rows"), F.max("own").alias("met")), "window-sizes")
     # Steps with a single vector, or with neighbours only, hold no pair of their own.
@@ -123,24 +130,32 @@ def _collisions(windows, settings):
     dealt = dealt.withColumn("meet", F.explode(meets))
 
     def collide(frame):
-        frame = frame.sort_values("line", kind="stable")
-        line, ids = frame["line"].to_numpy(), frame["id"].to_numpy()
-        own, b = frame["own"].to_numpy(), frame["b"].to_numpy()
-        one_block = (b == b[0]).all()
-        ends = np.searchsorted(line, line + settings.half_window, "right")
-        found = []
-        for i in range(len(line)):
-            j = np.arange(i + 1, ends[i])
+        keys = [frame[c].to_numpy() for c in (*key, "i", "j")]
+        line = frame["line"].to_numpy()
+        order = np.lexsort([line, *keys[::-1]])
+        keys, line = [k[order] for k in keys], line[order]
+        ids, own, b = (frame[c].to_numpy()[order] for c in ("id", "own", "b"))
+        new = np.concatenate([[False], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        window, alone = np.cumsum(new), keys[-2] == keys[-1]
+        found, at, ahead = [np.zeros((0, 2), np.int64)], np.arange(len(line)), 1
+        while len(at):
+            at = at[at + ahead < len(line)]
+            other = at + ahead
+            near = (window[at] == window[other]) & (line[other] - line[at] <= settings.half_window)
+            at, other = at[near], other[near]
             # Two neighbours meet in their own step; two of one block meet alone.
-            j = j[(own[i] | own[j]) & (one_block | (b[j] != b[i]))]
-            if len(j):
-                found.append(np.column_stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            met = (own[at] | own[other]) & (alone[at] | (b[at] != b[other]))
+            pair = np.column_stack([ids[at[met]], ids[other[met]]])
+            found.append(np.sort(pair, axis=1))
+            ahead += 1
+        pairs = np.concatenate(found)
         return pd.DataFrame({"x": pairs[:, 0], "y": pairs[:, 1]})
 
     blocks = dealt.where("meet.i != meet.j or blocks = 1 or b = meet.i")
     columns = [*key, F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "id", "line", "own", "b"]
-    return blocks.select(*columns).groupBy(*key, "i", "j").applyInPandas(collide, "x long, y long")
+    group = F.pmod(F.xxhash64(*key, "i", "j"), F.lit(groups)).alias("group")
+    rows = blocks.select(*columns).select(group, "*")
+    return rows.groupBy("group").applyInPandas(collide, "x long, y long")
 
 
 def _verified(pairs, vectors, settings):
@@ -177,9 +192,11 @@ def linked_vectors(df, settings=Settings(), key="vec_id", vector="embedding"):
     )
     heads = stage(heads, "heads")
     vectors = heads.select(F.col("head").alias("id"), "vector")
-    plan = plan_for(vectors.count(), settings)
+    size = vectors.count()
+    plan = plan_for(size, settings)
+    groups = 1 + size * plan.tables // WINDOW_ROWS
     windows = stage(_windows(vectors, plan, settings), "windows")
-    counted = _collisions(windows, settings).groupBy("x", "y").agg(F.count("*").alias("n"))
+    counted = _collisions(windows, groups, settings).groupBy("x", "y").agg(F.count("*").alias("n"))
     candidates = counted.where(F.col("n") >= settings.collisions).select("x", "y")
     links = stage(_verified(candidates, vectors, settings), "links")
     both = links.union(links.select("y", "x")).toDF("head", "other")
