@@ -9,12 +9,13 @@ filter of fixed size over the repeated ones, and texts without a repeated span a
 moved at all.
 """
 
-import hashlib
+import itertools
 import re
 import struct
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F, types as T
 
 from gradeloom.llm.catalog import query
@@ -28,17 +29,18 @@ WORDS = 12
 LONG_SENTENCE = 24
 CLAUSE = 12
 FILTER_BITS = 1 << 25
-_SENTENCE = re.compile(r".*?(?:[.!?]+[^\w\s]*(?:\s+|\Z)|\n\s*|\Z)", re.DOTALL)
+_END = re.compile(r"[.!?]+[^\w\s]*(?:\s+|\Z)|\n\s*")
 _WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text):
     """Parts of a text that together are the text; a long sentence is several parts."""
+    ends = [found.end() for found in _END.finditer(text)]
     parts = []
-    for found in _SENTENCE.finditer(text):
-        sentence = found[0]
-        if not sentence:
+    for start, end in zip([0, *ends], [*ends, len(text)]):
+        if start == end:
             continue
+        sentence = text[start:end]
         words = _WORD.findall(sentence) if len(sentence) > 2 * LONG_SENTENCE else ()
         if len(words) <= LONG_SENTENCE:
             parts.append(sentence)
@@ -59,7 +61,8 @@ def sentences(text):
 def spans(parts):
     """(hash, first part, number of parts) of each span."""
     words = [p.split() for p in parts]
-    ends = np.cumsum([0] + [len(w) for w in words])
+    plain = [" ".join(w) for w in words]
+    ends = [0, *itertools.accumulate(map(len, words))]
     found = []
     last = 0
     for first in range(len(parts)):
@@ -68,8 +71,8 @@ def spans(parts):
             last += 1
         if last > len(parts):
             break
-        joined = " ".join([w for part in words[first:last] for w in part])
-        digest = hashlib.blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        joined = " ".join(filter(None, plain[first:last]))
+        digest = xxhash.xxh3_128_digest(joined.encode("utf-8", "surrogatepass"))
         found.append((*struct.unpack("<2q", digest), first, last - first))
     return found
 
