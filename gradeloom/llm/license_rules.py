@@ -1,7 +1,7 @@
 """License scan by ordered signature rules.
 
 A rule is a regular expression over the words of a text, joined by one space, with a
-label, a priority and a keyword. A rule is tried only on texts that hold its keyword.
+label, a priority and keywords. A rule is tried only on texts that hold one of them.
 Matches are taken in order of priority, then length, then place; one that lies inside
 an interval already taken is suppressed, so that "licensed under the apache license
 version 2.0" counts once and not again as "apache license".
@@ -30,10 +30,10 @@ BASE = {
     "mit license": "mit",
 }
 
-# label, keyword, name as an expression over lower-case words, short name or "".
+# label, keywords between bars, name as an expression over lower-case words, short name or "".
 FAMILIES = [
     ("gpl", "gnu", r"gnu (?:gpl|general public licen[cs]e)", "gpl"),
-    ("lgpl", "lesser", r"gnu (?:lesser|library) general public licen[cs]e", ""),
+    ("lgpl", "lesser|library general", r"gnu (?:lesser|library) general public licen[cs]e", ""),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl", "lgpl"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e", ""),
     ("agpl", "agpl", r"(?:gnu )?agpl", "agpl"),
@@ -46,7 +46,7 @@ FAMILIES = [
     ("bsd-3-clause", "clause bsd", r"(?:3|three) clause bsd(?: licen[cs]e)?", "bsd 3 clause"),
     ("bsd-2-clause", "clause bsd", r"(?:2|two) clause bsd(?: licen[cs]e)?", "bsd 2 clause"),
     ("bsd-4-clause", "clause bsd", r"(?:4|four) clause bsd(?: licen[cs]e)?", "bsd 4 clause"),
-    ("0bsd", "0bsd", r"(?:0bsd|zero clause bsd)(?: licen[cs]e)?", "0bsd"),
+    ("0bsd", "0bsd|zero clause bsd", r"(?:0bsd|zero clause bsd)(?: licen[cs]e)?", "0bsd"),
     ("isc", "isc", r"isc licen[cs]e", "isc"),
     ("mpl", "mozilla", r"mozilla public licen[cs]e", ""),
     ("mpl", "mpl", r"mpl licen[cs]e", "mpl"),
@@ -81,11 +81,11 @@ FAMILIES = [
     ("odbl", "open database", r"open (?:data commons open )?database licen[cs]e", "odbl"),
     ("odc-by", "data commons attribution", r"open data commons attribution licen[cs]e", "odc by"),
     ("pddl", "public domain dedication", r"public domain dedication and licen[cs]e", "pddl"),
-    ("cc-by-nc-nd", "cc", r"(?:cc|creative commons) (?:by nc nd|attribution non ?commercial no ?deriv(?:ative)?s?)", "cc by nc nd"),
-    ("cc-by-nc-sa", "cc", r"(?:cc|creative commons) (?:by nc sa|attribution non ?commercial share ?alike)", "cc by nc sa"),
-    ("cc-by-nc", "cc", r"(?:cc|creative commons) (?:by nc|attribution non ?commercial)", "cc by nc"),
-    ("cc-by-nd", "cc", r"(?:cc|creative commons) (?:by nd|attribution no ?deriv(?:ative)?s?)", "cc by nd"),
-    ("cc-by-sa", "cc", r"(?:cc|creative commons) (?:by sa|attribution share ?alike)", "cc by sa"),
+    ("cc-by-nc-nd", "cc|creative commons", r"(?:cc|creative commons) (?:by nc nd|attribution non ?commercial no ?deriv(?:ative)?s?)", "cc by nc nd"),
+    ("cc-by-nc-sa", "cc|creative commons", r"(?:cc|creative commons) (?:by nc sa|attribution non ?commercial share ?alike)", "cc by nc sa"),
+    ("cc-by-nc", "cc|creative commons", r"(?:cc|creative commons) (?:by nc|attribution non ?commercial)", "cc by nc"),
+    ("cc-by-nd", "cc|creative commons", r"(?:cc|creative commons) (?:by nd|attribution no ?deriv(?:ative)?s?)", "cc by nd"),
+    ("cc-by-sa", "cc|creative commons", r"(?:cc|creative commons) (?:by sa|attribution share ?alike)", "cc by sa"),
     ("cc-by-nc-nd", "creative commons", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s?", ""),
     ("cc-by-nc-sa", "creative commons", r"creative commons attribution non ?commercial share ?alike", ""),
     ("cc-by-nc", "creative commons", r"creative commons attribution non ?commercial", ""),
@@ -99,7 +99,7 @@ FAMILIES = [
     ("sspl", "server side public", r"server side public licen[cs]e", "sspl"),
     ("busl", "business source", r"business source licen[cs]e", "busl"),
     ("elastic", "elastic", r"elastic licen[cs]e", "elastic"),
-    ("openrail", "openrail", r"(?:creativeml |bigscience )?(?:open ?rail|rail)(?: m)? licen[cs]e", "openrail"),
+    ("openrail", "openrail|rail", r"(?:creativeml |bigscience )?(?:open ?rail|rail)(?: m)? licen[cs]e", "openrail"),
     ("vim", "vim", r"vim licen[cs]e", "vim"),
     ("latex", "latex", r"latex project public licen[cs]e", "lppl"),
     ("sleepycat", "sleepycat", r"sleepycat licen[cs]e", "sleepycat"),
@@ -138,7 +138,7 @@ PHRASES = [
 class Rule(NamedTuple):
     name: str
     label: str
-    keyword: bytes
+    keywords: tuple
     priority: int
     weight: float
     pattern: re.Pattern
@@ -148,6 +148,10 @@ def _compiled(expression):
     return re.compile(f" (?:{expression})(?= )".encode())
 
 
+def _keywords(gate):
+    return tuple(b" " + keyword.encode() for keyword in gate.split("|"))
+
+
 @lru_cache(1)
 def rules():
     """All rules, highest priority first."""
@@ -160,20 +164,20 @@ def rules():
                 gate, expression = f"identifier {short}", expression.replace("{short}", short)
             else:
                 gate, expression = keyword, expression.replace("{name}", f"(?:{name})")
-            rule = Rule(f"{number}-{label}-{form}", label, gate.encode(), priority, weight, _compiled(expression))
+            rule = Rule(f"{number}-{label}-{form}", label, _keywords(gate), priority, weight, _compiled(expression))
             found.append(rule)
     for number, (label, keyword, priority, weight, expression) in enumerate(PHRASES):
-        rule = Rule(f"p{number}-{label}", label, keyword.encode(), priority, weight, _compiled(expression))
+        rule = Rule(f"p{number}-{label}", label, _keywords(keyword), priority, weight, _compiled(expression))
         found.append(rule)
     return sorted(found, key=lambda r: (-r.priority, r.name))
 
 
 @lru_cache(1)
 def _gates():
-    by_keyword = {}
+    gated = {}
     for rule in rules():
-        by_keyword.setdefault(rule.keyword, []).append(rule)
-    return [(b" " + keyword, found) for keyword, found in by_keyword.items()]
+        gated.setdefault(rule.keywords, []).append(rule)
+    return list(gated.items())
 
 
 #: ASCII letters to lower case, other ASCII but digits to a space; the rest stays.
@@ -213,10 +217,12 @@ def scan(text):
     words = (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS).split()
     joined = b" " + b" ".join(words) + b" "
     base, matches = [], []
-    for keyword, gated in _gates():
-        if keyword in joined:
-            for rule in gated:
-                matches += [(rule, *m.span()) for m in rule.pattern.finditer(joined)]
+    for keywords, gated in _gates():
+        for keyword in keywords:
+            if keyword in joined:
+                for rule in gated:
+                    matches += [(rule, *m.span()) for m in rule.pattern.finditer(joined)]
+                break
     if b" cc by " in joined or b" license " in joined:
         for pattern, label in _BASE:
             base += [(m.start(), label) for m in pattern.finditer(joined)]

@@ -1,4 +1,5 @@
 import re
+from re import _parser
 
 import pytest
 
@@ -81,3 +82,52 @@ def test_query_against_brute_force(spark):
     for r in rows:
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(texts[r.doc_id])
     assert {"gpl", "apache", "cc-by-nc,cc-by", "mit"} & {r.labels for r in rows}
+
+
+def wordings(parsed):
+    """Every text of a parsed expression; repeats stand as often as they must and as they may, once more at most."""
+    texts = [""]
+    for op, value in parsed:
+        if str(op) == "LITERAL":
+            more = [chr(value)]
+        elif str(op) == "IN":
+            code, first = value[0]
+            more = [chr(c) for c in ([v for _, v in value] if str(code) == "LITERAL" else first[:1] if str(code) == "RANGE" else [97])]
+        elif str(op) == "BRANCH":
+            more = [t for branch in value[1] for t in wordings(branch)]
+        elif str(op) == "SUBPATTERN":
+            more = wordings(value[3])
+        elif str(op) == "MAX_REPEAT":
+            low, _, inner = value
+            more = [t * n for t in wordings(inner) for n in {low, max(low, 1)}]
+        else:
+            assert str(op) == "ASSERT", op
+            more = [""]
+        texts = [a + b for a in texts for b in dict.fromkeys(more)]
+    return texts
+
+
+def test_every_wording_passes_its_own_gate():
+    for rule in lic.rules():
+        if rule.name.startswith("p") or rule.name.endswith("-identifier"):
+            texts = wordings(_parser.parse(rule.pattern.pattern.decode()))
+        else:
+            name = lic.FAMILIES[int(rule.name.split("-")[0])][2]
+            texts = [f" {t}" for t in wordings(_parser.parse(name))]
+        for text in texts:
+            assert any(k in f"{text} ".encode() for k in rule.keywords), (rule.name, text)
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("CreativeML Open RAIL-M License", ["openrail"]),
+        ("the BigScience RAIL License v1.0", ["openrail"]),
+        ("BigScience OpenRAIL-M license", ["openrail"]),
+        ("Zero-Clause BSD License", ["0bsd"]),
+        ("Licensed under Creative Commons BY-NC-SA 4.0.", ["cc-by-nc-sa"]),
+        ("a railway license", []),
+    ],
+)
+def test_wordings_beside_the_first_keyword(text, expected):
+    assert labels(text) == expected
