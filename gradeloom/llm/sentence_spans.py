@@ -4,6 +4,10 @@ From every sentence on, the shortest run of at least ``SENTENCES`` sentences wit
 least ``WORDS`` words is a span. All spans of all texts are counted by a hash of their
 words; sentences that lie in a span which stands earlier in the corpus are removed.
 
+A long sentence is cut after each clause, and a long clause where the words themselves
+say so, so that a shared passage is cut alike wherever it starts. Scripts without spaces
+count by characters.
+
 Only hashes are shuffled. Spans that stand once are dropped where they are made, by a
 filter of fixed size over the repeated ones, and texts without a repeated span are not
 moved at all.
@@ -12,6 +16,7 @@ moved at all.
 import itertools
 import re
 import struct
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,32 +34,66 @@ WORDS = 12
 LONG_SENTENCE = 24
 CLAUSE = 12
 FILTER_BITS = 1 << 25
-_END = re.compile(r"[.!?]+[^\w\s]*(?:\s+|\Z)|\n\s*")
+#: Letters and signs of scripts that set no spaces between words, and how many count as a word.
+_DENSE = "\u0e00-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u9fff\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff"
+DENSE_WORD = 2
+_FULL = "。！？｡．؟۔।॥።։။។༎།"
+_END = re.compile(
+    rf"[.!?\n{_FULL}](?:(?<=[.!?])[.!?]*[^\w\s]*(?:\s+|\Z)|(?<=\n)\s*|(?<=[{_FULL}])[{_FULL}]*[」』】）〕》〉”’\"')]*\s*)"
+)
+_UNIT = re.compile(rf"[{_DENSE}]\s*|[^\s{_DENSE}]+\s*")
 _WORD = re.compile(r"\S+\s*")
+_DENSE = re.compile(f"[{_DENSE}]")
+_CLAUSE_END = re.compile(r"[,;:|،؛](?:\s+|\Z)|[，、；：]\s*")
+_BEFORE = np.arange(CLAUSE)[::-1]
+_word_hash = lru_cache(1 << 16)(lambda word: xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")))
+
+
+def _size(text, dense):
+    """Number of words; where scripts without spaces stand, so many characters are a word."""
+    if not dense:
+        return len(text.split())
+    rest, characters = _DENSE.subn(" ", text)
+    return len(rest.split()) + characters // DENSE_WORD
+
+
+def _is_dense(text):
+    return not text.isascii() and _DENSE.search(text) is not None
+
+
+def _split(text, ends):
+    places = [0, *ends, len(text)]
+    return [text[a:b] for a, b in itertools.pairwise(places) if a < b]
+
+
+def _cut_clause(clause, dense):
+    """Parts of a clause, of at most ``CLAUSE`` words each.
+
+    Of each ``CLAUSE`` words in a row, the last one with the least hash (taken with the word
+    before it) ends a part. So the words around a place decide, not where the clause starts.
+    """
+    words = _UNIT.findall(clause) if dense else clause.split()
+    if len(words) <= CLAUSE:
+        return [clause]
+    bare = map(str.rstrip, words) if dense else words
+    hashes = np.fromiter(map(_word_hash, bare), np.uint64, len(words))
+    hashes[1:] += hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)
+    windows = np.arange(len(words) - CLAUSE + 1)
+    least = hashes[windows[:, None] + _BEFORE].argmin(1)
+    ends = [found.end() for found in (_UNIT if dense else _WORD).finditer(clause)]
+    return _split(clause, [ends[n] for n in dict.fromkeys((windows + CLAUSE - 1 - least).tolist())])
 
 
 def sentences(text):
     """Parts of a text that together are the text; a long sentence is several parts."""
-    ends = [found.end() for found in _END.finditer(text)]
+    dense = _is_dense(text)
     parts = []
-    for start, end in zip([0, *ends], [*ends, len(text)]):
-        if start == end:
-            continue
-        sentence = text[start:end]
-        words = _WORD.findall(sentence) if len(sentence) > 2 * LONG_SENTENCE else ()
-        if len(words) <= LONG_SENTENCE:
+    for sentence in _split(text, [found.end() for found in _END.finditer(text)]):
+        if len(sentence) <= 2 * LONG_SENTENCE or _size(sentence, dense) <= LONG_SENTENCE:
             parts.append(sentence)
             continue
-        lead = len(sentence) - sum(map(len, words))
-        words[0] = sentence[:lead] + words[0]
-        clause = []
-        for word in words:
-            clause.append(word)
-            if len(clause) >= CLAUSE or len(clause) > 2 and word.rstrip()[-1] in ",;:|":
-                parts.append("".join(clause))
-                clause = []
-        if clause:
-            parts.append("".join(clause))
+        for clause in _split(sentence, [found.end() for found in _CLAUSE_END.finditer(sentence)]):
+            parts += _cut_clause(clause, dense) if len(clause) > CLAUSE else [clause]
     return parts
 
 
@@ -62,7 +101,11 @@ def spans(parts):
     """(hash, first part, number of parts) of each span."""
     words = [p.split() for p in parts]
     plain = [" ".join(w) for w in words]
-    ends = [0, *itertools.accumulate(map(len, words))]
+    dense = _is_dense("".join(parts))
+    if dense:
+        plain = [w + " " * (w != "" and p[-1].isspace()) for w, p in zip(plain, parts)]
+    sizes = [_size(p, dense) for p in parts] if dense else map(len, words)
+    ends = [0, *itertools.accumulate(sizes)]
     found = []
     last = 0
     for first in range(len(parts)):
@@ -71,7 +114,7 @@ def spans(parts):
             last += 1
         if last > len(parts):
             break
-        joined = " ".join(filter(None, plain[first:last]))
+        joined = "".join(plain[first:last]).rstrip() if dense else " ".join(filter(None, plain[first:last]))
         digest = xxhash.xxh3_128_digest(joined.encode("utf-8", "surrogatepass"))
         found.append((*struct.unpack("<2q", digest), first, last - first))
     return found

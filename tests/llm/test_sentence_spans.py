@@ -77,3 +77,56 @@ def test_query(spark):
     expected = brute(rows)
     for r in ss.op5_sentence_spans(spark, sf).collect():
         assert (r.n_cut, r.n_kept) == (expected[r.doc_id][1], len(expected[r.doc_id][0]))
+
+
+def cut_second(first, second):
+    """Sentences of the second text that stand in no span of the first."""
+    known = {s[:2] for s in ss.spans(ss.sentences(first))}
+    found = [s for s in ss.spans(ss.sentences(second)) if s[:2] in known]
+    return ss.cut(second, [s[2] for s in found], [s[3] for s in found])[0]
+
+
+def test_a_passage_inside_a_sentence_goes_wherever_it_starts():
+    passage = " ".join(f"p{i}x{i * i}" for i in range(60))
+    own = lambda n, name: " ".join(f"{name}{i}" for i in range(n))
+    for a in range(13):
+        for b in range(13):
+            second = f"{own(b, 'b')} {passage} {own(9, 'd')}."
+            left = cut_second(f"{own(a, 'a')} {passage} {own(9, 'c')}.", second).split()
+            assert sum(w[0] == "p" for w in left) <= 36
+            assert sum(w[0] == "b" for w in left) == b and left[-1] == "d8."
+
+
+def test_parts_of_a_long_clause_are_bounded():
+    for text in (" ".join(f"w{i}" for i in range(5000)), "same " * 5000):
+        parts = ss.sentences(text)
+        assert "".join(parts) == text
+        assert max(len(p.split()) for p in parts) <= ss.CLAUSE
+
+
+def test_texts_without_spaces(spark):
+    rng = random.Random(3)
+    sentence = lambda: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(rng.randrange(8, 30))) + "。"
+    passage = "".join(sentence() for _ in range(40))
+    rows = [(i, sentence() + passage + sentence()) for i in range(3)]
+    rows += [(5, "謝謝。再見。"), (6, "謝謝。再見。")]
+    assert len(ss.sentences(passage)) >= 40 and "".join(ss.sentences(passage)) == passage
+    got = run(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got[0] == (rows[0][1], 0)
+    for i in (1, 2):
+        assert got[i][0] == rows[i][1].replace(passage, "")
+    assert got[5][1] == got[6][1] == 0
+
+
+def test_long_stretches_without_spaces_or_ends():
+    rng = random.Random(4)
+    signs = lambda n: "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(n))
+    passage = signs(300)
+    for a, b in ((3, 8), (11, 40)):
+        lead = signs(b)
+        assert len(cut_second(signs(a) + passage, lead + passage)) < b + 80
+
+
+def test_ends_of_other_scripts():
+    for text in ("یہ ایک ہے۔ دوسرا۔", "एक वाक्य। दूसरा।", "「好。」好！", "هل هذا؟ نعم."):
+        assert len(ss.sentences(text)) == 2 and "".join(ss.sentences(text)) == text
