@@ -49,14 +49,14 @@ for _c, _i in _SYMBOL_OF.items():
 @dataclass(frozen=True)
 class Settings:
     """``sample_rows`` bounds the labelled rows the evidence is fitted on (those with
-    the smallest hash of their key), ``entries`` the words and beginnings kept.
+    the smallest hash of their key); it and ``min_toxic_texts`` bound the words and
+    beginnings whose log-odds are worked out.
 
     An entry's weight is its log-odds less ``errors_below`` standard errors, so that
     words that fell into toxic texts by chance carry none.
     """
 
     sample_rows: int = 20_000
-    entries: int = 20_000
     min_toxic_texts: int = 6
     min_log_odds: float = 1.0
     errors_below: float = 2.0
@@ -295,11 +295,8 @@ def fit(df, labels, key="doc_id", label="toxic", settings=Settings()):
     if not toxic or not other:
         return model
     fitted = rows.where("not for_curve")
-    frequent = (
-        _count_keys(fitted.where("toxic = 1"), log, settings.beginnings)
-        .where(F.col("n") >= settings.min_toxic_texts)
-        .orderBy(F.desc("n"), "key")
-        .limit(settings.entries)
+    frequent = _count_keys(fitted.where("toxic = 1"), log, settings.beginnings).where(
+        F.col("n") >= settings.min_toxic_texts
     )
     in_toxic = {r.key: r.n for r in frequent.collect()}
     in_other = {

@@ -74,6 +74,16 @@ def test_odd_rows(spark, model):
     assert {r.predicted for r in nc.score(df, untaught).collect()} == {0}
 
 
+def test_rare_toxic_words_weigh_beside_many_common_ones(spark):
+    letters = "bcdfghklmnprstvw"
+    common = ["".join(w) for w in itertools.islice(itertools.product(letters, "aeiou", letters, "aeiou", "lnrt"), 21_000)]
+    rows = [(i, " ".join(common) + (" zuqqivox" if 8 <= i < 40 else "")) for i in range(48)]
+    rows += [(100 + i, f"own words of text {i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = df.select("doc_id", (F.col("doc_id") < 100).cast("int").alias("toxic"))
+    assert "=zuqqivox" in nc.fit(df, labels).weights
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = nc.op7_noisy_channel(spark, sf).collect()
