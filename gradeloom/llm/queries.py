@@ -11,5 +11,6 @@ from gradeloom.llm import (  # noqa: F401
     rank_array_bpe,
     run_index,
     sentence_spans,
+    target_resampling,
 )
 from gradeloom.llm.catalog import ORACLES, QUERIES  # noqa: F401
