@@ -3,6 +3,7 @@
 from gradeloom.llm import (  # noqa: F401
     best_two_fit,
     collision_projections,
+    conversation_repair,
     decision_list,
     host_suffixes,
     license_rules,
