@@ -12,6 +12,7 @@ from gradeloom.llm import (  # noqa: F401
     rank_array_bpe,
     run_index,
     sentence_spans,
+    simhash,
     target_resampling,
 )
 from gradeloom.llm.catalog import ORACLES, QUERIES  # noqa: F401
