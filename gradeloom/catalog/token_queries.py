@@ -88,7 +88,7 @@ def vocabulary(spark, sf_dir):
 FROM encoded""",
 )
 def encode(spark, sf_dir):
-    rows = document_tokens(spark, sf_dir)
+    rows = V.slice_items(document_tokens(spark, sf_dir), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
     return V.encode(rows, words).select(
         "doc_id", F.size("ids").cast("long").alias("token_count"), digest("ids").alias("ids")
@@ -98,9 +98,10 @@ def encode(spark, sf_dir):
 @query("decode", "SELECT doc_id, md5(text) AS decoded FROM documents")
 def decode(spark, sf_dir):
     """Encoding a text and decoding the ids gives the text back."""
-    rows = document_tokens(spark, sf_dir)
+    rows = V.slice_items(document_tokens(spark, sf_dir), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    decoded = V.decode(V.encode(rows, words), words)
+    ids = V.slice_items(V.encode(rows, words), "ids", keep=False)
+    decoded = V.decode(ids, words)
     return decoded.select("doc_id", F.md5("decoded").alias("decoded"))
 
 
@@ -111,20 +112,20 @@ SELECT conv_id AS seq_id,
  regexp_replace(rendered, '<\\|im_(start|end)\\|>', '', 'g') AS decoded FROM rendered""",
 )
 def decode_without_special(spark, sf_dir):
-    rows = conversation_tokens(spark, sf_dir)
+    rows = V.slice_items(conversation_tokens(spark, sf_dir).drop("rendered"), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    encoded = V.encode(rows, words)
-    decoded = V.decode(encoded, words, skip_special_tokens=True)
+    ids = V.slice_items(V.encode(rows, words), "ids", keep=False)
+    decoded = V.decode(ids, words, skip_special_tokens=True)
     return decoded.select("seq_id", "decoded")
 
 
 @query("decode_rare_tokens", "SELECT doc_id, md5(text) AS decoded FROM documents")
 def decode_rare_tokens(spark, sf_dir):
     """As ``decode`` with a lookup so small that nearly all tokens come by the join."""
-    rows = document_tokens(spark, sf_dir)
+    rows = V.slice_items(document_tokens(spark, sf_dir), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    encoded = V.encode(rows, words, max_tokens=50)
-    decoded = V.decode(encoded, words, max_tokens=50)
+    ids = V.slice_items(V.encode(rows, words, max_tokens=50), "ids", keep=False)
+    decoded = V.decode(ids, words, max_tokens=50)
     return decoded.select("doc_id", F.md5("decoded").alias("decoded"))
 
 
@@ -147,8 +148,9 @@ def term_tokens(spark, sf_dir):
     terms = table(spark, sf_dir, "part").select(
         "p_partkey", term.alias("term"), T.tokenize(term).alias("tokens")
     )
-    words = stage(V.build_vocabulary(terms), "vocabulary")
-    return V.encode(terms, words).select(
+    sliced = V.slice_items(terms)
+    words = stage(V.build_vocabulary(sliced), "vocabulary")
+    return V.encode(sliced, words).select(
         "p_partkey",
         "term",
         F.array_join("tokens", "|").alias("tokens"),
@@ -174,7 +176,7 @@ masked AS (SELECT e.seq_id, e.ids, m.start,
 
 
 def masked_conversations(spark, sf_dir):
-    rows = conversation_tokens(spark, sf_dir).drop("rendered")
+    rows = V.slice_items(conversation_tokens(spark, sf_dir).drop("rendered"), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
     encoded = V.encode(rows, words)
     return masking.add_loss_mask(encoded, preparation.marker_ids(words))

@@ -1,13 +1,21 @@
 """Token ids: building a vocabulary, encoding and decoding.
 
-Ids rank the tokens by falling count, so the lowest ids are the most frequent
-tokens. Some ten thousand of those form a lookup that travels with the job and is
-read inside each row, without a shuffle. The others, by then rare, are looked up by
-a join. Both always take part, whatever the size of the vocabulary, and rows are
-told apart by a number of their own, so repeated or missing keys do no harm.
+Rows are written out in slices. A slice names each of its distinct items (tokens or ids)
+once, in a dictionary of its own, and its rows hold places in that dictionary. Only the
+dictionaries are counted, joined with the vocabulary and gathered again, so an item costs
+a joined row per slice, however often it occurs there, and no row of the table is moved
+for it. A slice is bounded by its number of items, so its dictionary is too.
+
+Ids rank the tokens by falling count. The most frequent ones, which stand in every
+slice, are looked up in a bounded broadcast table and never shuffled.
 """
 
-from pyspark.sql import functions as F
+from itertools import count
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gradeloom import constants as C
 from gradeloom.operators.ordering import number_rows
@@ -15,20 +23,92 @@ from gradeloom.sources.staging import stage
 
 LOOKUP_TOKENS = 30_000
 LOOKUP_BYTES = 2 * 1024 * 1024
+SLICE_ITEMS = 1 << 20
 UNKNOWN_ID = -1
 UNKNOWN_TOKEN = "�"
 
 
-def build_vocabulary(df, tokens="tokens"):
-    """``(token, id, count)`` of the tokens in an array column, ids from 0."""
-    # The plain explode would add a filter for empty arrays, push it below and
-    # there tokenize every text a second time.
-    counts = (
-        df.select(F.explode_outer(tokens).alias("token"))
-        .where("token IS NOT NULL")
-        .groupBy("token")
-        .agg(F.count("*").alias("count"))
+class Sliced(NamedTuple):
+    """Rows with places in their slice's dictionary (``table``), and one row per slice and
+    distinct item: ``(_slice, _place, item, n)`` (``entries``)."""
+
+    table: DataFrame
+    items: str
+
+    @property
+    def entries(self):
+        own = self.table.where("_items IS NOT NULL")
+        each = F.posexplode(F.arrays_zip(F.col("_items").alias("item"), F.col("_counts").alias("n")))
+        return own.select("_slice", each.alias("_place", "_entry")).select("_slice", "_place", "_entry.*")
+
+
+def _cut(lengths, limit):
+    """Borders of runs of rows with at most ``limit`` items, or of one row."""
+    borders, held = [0], 0
+    for place, length in enumerate(lengths):
+        if held and held + length > limit:
+            borders.append(place)
+            held = 0
+        held += length
+    return [*borders, len(lengths)]
+
+
+def slice_items(df, items="tokens", keep=True, slice_items=SLICE_ITEMS):
+    """``df`` written out in slices; without ``keep`` its array column is left out.
+
+    The first row of a slice carries its dictionary: distinct items and their counts.
+    """
+    item_type = df.schema[items].dataType.elementType
+    names = [c for c in df.columns if keep or c != items]
+    schema = T.StructType([df.schema[c] for c in names]).add("_slice", "long")
+    schema = schema.add("_places", T.ArrayType(T.IntegerType()))
+    schema = schema.add("_items", T.ArrayType(item_type)).add("_counts", T.ArrayType(T.LongType()))
+
+    def run(batches):
+        numbers = count(TaskContext.get().partitionId() << 40)
+        for batch in batches:
+            arrays = batch.column(batch.schema.get_field_index(items))
+            lengths = arrays.value_lengths().fill_null(0).to_pylist()
+            borders = _cut(lengths, slice_items)
+            for start, stop in zip(borders, borders[1:]):
+                if stop > start:
+                    yield _coded(batch.slice(start, stop - start), items, names, next(numbers), schema.names)
+
+    return Sliced(stage(df.mapInArrow(run, schema), "sliced"), items)
+
+
+def _coded(batch, items, names, number, columns):
+    """A slice with its dictionary in the first row."""
+    arrays = batch.column(batch.schema.get_field_index(items))
+    coded = arrays.flatten().dictionary_encode()
+    lengths = arrays.value_lengths()
+    offsets = pa.array([0, *lengths.fill_null(0).to_numpy().cumsum()], pa.int32())
+    places = pa.ListArray.from_arrays(offsets, coded.indices, mask=arrays.is_null())
+    counted = {c["values"]: c["counts"] for c in coded.indices.value_counts().to_pylist()}
+    counts = [counted.get(place, 0) for place in range(len(coded.dictionary))]
+    first = pa.array([0, *[len(counts)] * batch.num_rows], pa.int32())
+    others = pa.array([not counts, *[True] * (batch.num_rows - 1)])
+    return pa.RecordBatch.from_arrays(
+        [
+            *(batch.column(batch.schema.get_field_index(n)) for n in names),
+            pa.array([number] * batch.num_rows, pa.int64()),
+            places,
+            pa.ListArray.from_arrays(first, coded.dictionary, mask=others),
+            pa.ListArray.from_arrays(first, pa.array(counts, pa.int64()), mask=others),
+        ],
+        names=columns,
     )
+
+
+def build_vocabulary(rows, tokens="tokens"):
+    """``(token, id, count)`` of the tokens of an array column or of sliced rows, ids from 0."""
+    if isinstance(rows, Sliced):
+        counted = rows.entries.select(F.col("item").alias("token"), "n")
+    else:
+        # The plain explode would add a filter for empty arrays, push it below and
+        # there tokenize every text a second time.
+        counted = rows.select(F.explode_outer(tokens).alias("token"), F.lit(1).alias("n"))
+    counts = counted.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("count"))
     ranked = number_rows(counts, [F.desc("count"), F.asc("token")], name="_rank")
     return ranked.select("token", (F.col("_rank") - 1).cast("long").alias("id"), "count")
 
@@ -57,91 +137,45 @@ def once(value):
     return F.explode(F.array(value))
 
 
-def _lookup_by_token(vocabulary, size):
-    """One row: the ``size`` lowest ids as an array of small maps, by token hash."""
-    buckets = max(1, size // 4)
-    bucket = F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int")
-    filled = (
-        vocabulary.where(F.col("id") < size)
-        .groupBy(bucket.alias("bucket"))
-        .agg(F.collect_list(F.struct("token", "id")).alias("entries"))
-    )
-    every = vocabulary.sparkSession.range(buckets).select(
-        F.col("id").cast("int").alias("bucket")
-    )
-    entry = F.struct("bucket", F.coalesce("entries", F.array()).alias("entries"))
-    packed = every.join(filled, "bucket", "left").agg(
-        F.sort_array(F.collect_list(entry)).alias("packed")
-    )
-    maps = F.transform("packed", lambda b: F.map_from_entries(b["entries"]))
-    lookup = packed.select(maps.alias("lookup"))
-
-    def find(lookup_column, token):
-        at = F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
-        return F.try_element_at(F.get(lookup_column, at), token)
-
-    return lookup, find
-
-
-def _lookup_by_id(vocabulary, size):
-    """One row: the tokens of the ``size`` lowest ids in the order of their ids."""
-    packed = vocabulary.where(F.col("id") < size).agg(
-        F.sort_array(F.collect_list(F.struct("id", "token")))["token"].alias("lookup")
-    )
-    return packed, lambda lookup, item: F.get(lookup, item.cast("int"))
+def _dictionary_values(entries, vocabulary, on, value, max_tokens):
+    """``(_slice, _values)``: for each slice what its items stand for, by place.
 
-
-def _replace_items(df, items, name, lookup, find, table, on, value, missing):
-    """Replace every array item by what ``find`` gives and, failing that, by a join.
-
-    The rows are written out with a number each. The lookup is a scalar subquery,
-    one value held once per task. Rows keep what the lookup found; only the items it
-    lacks are joined. They are the rare ones, so no key of this join is hot. Both
-    halves come with their places and are merged in order.
+    Frequent items come from a broadcast side of bounded size, the others by a join in
+    which no key is hot: a slice holds an item once, and these stand in few slices.
     """
-    missing = F.lit(missing)
-    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "items")
-    bound = rows.select("_row", items).withColumn("_lookup", lookup.scalar())
-
-    def found(item):
-        return find(F.col("_lookup"), item)
-
-    hits = F.transform(items, lambda x, at: F.struct(at.alias("at"), found(x).alias("hit"), x.alias("item")))
-    placed = stage(bound.select("_row", hits.alias("_places")), "placed-items")
-    lacking = F.filter("_places", lambda place: place["hit"].isNull())
-    rest = table.select(F.col(on).alias("_item"), F.col(value).alias("_value"))
-    joined = (
-        placed.select("_row", lacking.alias("_lacking"))
-        .select("_row", F.explode_outer("_lacking").alias("_lack"))
-        .where("_lack IS NOT NULL")
-        .select("_row", F.col("_lack.at").alias("_at"), F.col("_lack.item").alias("_item"))
-        .join(rest, "_item", "left")
-        .groupBy("_row")
-        .agg(
-            F.collect_list(
-                F.struct(F.col("_at").alias("at"), F.coalesce("_value", missing).alias("hit"))
-            ).alias("_joined")
-        )
-    )
-    known = F.transform(
-        F.filter("_places", lambda place: place["hit"].isNotNull()),
-        lambda place: F.struct(place["at"].alias("at"), place["hit"].alias("hit")),
+    size = lookup_size(vocabulary, max_tokens)
+    pairs = vocabulary.select(F.col(on).alias("item"), F.col(value).alias("_value"), F.col("id").alias("_id"))
+    frequent = F.broadcast(pairs.where(F.col("_id") < size).drop("_id"))
+    found = entries.join(frequent, "item")
+    rest = entries.join(frequent, "item", "left_anti")
+    rest = rest.join(pairs.where(F.col("_id") >= size).drop("_id"), "item", "left")
+    both = found.unionByName(rest).groupBy("_slice")
+    listed = both.agg(F.sort_array(F.collect_list(F.struct("_place", "_value"))).alias("_listed"))
+    return listed.select("_slice", F.col("_listed._value").alias("_values"))
+
+
+def _replace_items(sliced, name, vocabulary, on, value, missing, max_tokens):
+    """Every array item by its value, read from the values of the row's slice."""
+    rows = sliced.table
+    values = _dictionary_values(sliced.entries.drop("n"), vocabulary, on, value, max_tokens)
+    values = stage(values, "slice-values")
+    read = F.transform(
+        "_places", lambda place: F.coalesce(F.get(F.col("_values"), place), F.lit(missing))
     )
-    merged = F.sort_array(F.concat(known, F.coalesce("_joined", F.array())))["hit"]
-    replaced = placed.join(joined, "_row", "left").select("_row", once(merged).alias(name))
-    return rows.drop(name).join(replaced, "_row").drop("_row")
+    kept = [c for c in rows.columns if c not in (name, "_slice", "_places", "_items", "_counts")]
+    joined = rows.select("_slice", "_places", *kept).join(values, "_slice", "left")
+    # A slice of empty arrays has no values; empty arrays stay empty, null ones null.
+    return joined.select(*kept, once(read).alias(name))
 
 
-def encode(df, vocabulary, tokens="tokens", name="ids", max_tokens=LOOKUP_TOKENS):
-    """Add the ids of a token array (null for a null one)."""
-    size = lookup_size(vocabulary, max_tokens)
-    lookup, find = _lookup_by_token(vocabulary, size)
-    rest = vocabulary.where(F.col("id") >= size)
-    return _replace_items(df, tokens, name, lookup, find, rest, "token", "id", UNKNOWN_ID)
+def encode(rows, vocabulary, tokens="tokens", name="ids", max_tokens=LOOKUP_TOKENS):
+    """Add the ids of a token array (null for a null one) to a table or sliced rows."""
+    sliced = rows if isinstance(rows, Sliced) else slice_items(rows, tokens)
+    return _replace_items(sliced, name, vocabulary, "token", "id", UNKNOWN_ID, max_tokens)
 
 
 def decode(
-    df,
+    rows,
     vocabulary,
     ids="ids",
     name="decoded",
@@ -149,10 +183,8 @@ def decode(
     max_tokens=LOOKUP_TOKENS,
 ):
     """Add the text of an id array, with or without the special tokens."""
-    size = lookup_size(vocabulary, max_tokens)
-    lookup, find = _lookup_by_id(vocabulary, size)
-    rest = vocabulary.where(F.col("id") >= size)
-    rows = _replace_items(df, ids, "_tokens", lookup, find, rest, "id", "token", UNKNOWN_TOKEN)
+    sliced = rows if isinstance(rows, Sliced) else slice_items(rows, ids)
+    rows = _replace_items(sliced, "_tokens", vocabulary, "id", "token", UNKNOWN_TOKEN, max_tokens)
     kept = F.col("_tokens")
     if skip_special_tokens:
         kept = F.filter(kept, lambda token: ~token.isin(C.SPECIAL_TOKENS))

@@ -41,7 +41,7 @@ def training_tokens(examples):
 
 def training_table(examples, max_length=None):
     """``(example_id, split, ids, labels)``; ids count the given examples' tokens."""
-    rows = training_tokens(examples)
+    rows = V.slice_items(training_tokens(examples).drop("rendered"), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
     encoded = V.encode(rows, words)
     masked = masking.add_loss_mask(encoded, marker_ids(words))
