@@ -100,7 +100,7 @@ def decode(spark, sf_dir):
     """Encoding a text and decoding the ids gives the text back."""
     rows = V.slice_items(document_tokens(spark, sf_dir), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    ids = V.slice_items(V.encode(rows, words), "ids", keep=False)
+    ids = V.encode_slices(rows, words)
     decoded = V.decode(ids, words)
     return decoded.select("doc_id", F.md5("decoded").alias("decoded"))
 
@@ -114,7 +114,7 @@ SELECT conv_id AS seq_id,
 def decode_without_special(spark, sf_dir):
     rows = V.slice_items(conversation_tokens(spark, sf_dir).drop("rendered"), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    ids = V.slice_items(V.encode(rows, words), "ids", keep=False)
+    ids = V.encode_slices(rows, words)
     decoded = V.decode(ids, words, skip_special_tokens=True)
     return decoded.select("seq_id", "decoded")
 
@@ -124,7 +124,7 @@ def decode_rare_tokens(spark, sf_dir):
     """As ``decode`` with a lookup so small that nearly all tokens come by the join."""
     rows = V.slice_items(document_tokens(spark, sf_dir), keep=False)
     words = stage(V.build_vocabulary(rows), "vocabulary")
-    ids = V.slice_items(V.encode(rows, words, max_tokens=50), "ids", keep=False)
+    ids = V.encode_slices(rows, words, max_tokens=50)
     decoded = V.decode(ids, words, max_tokens=50)
     return decoded.select("doc_id", F.md5("decoded").alias("decoded"))
 

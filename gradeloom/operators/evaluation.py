@@ -8,6 +8,7 @@ cases at run time.
 from pyspark.sql import functions as F
 
 from gradeloom.functions.text import overlap_of_sets, word_set
+from gradeloom.sources.staging import stage
 
 METRICS = [
     "category_accuracy",
@@ -23,29 +24,35 @@ def score_cases(analyses, cases, key="case_id", models=None):
     A case that a model did not answer counts as wrong and invalid, so rates are over
     all cases. ``models`` defaults to those that answered anything. Answers to unknown
     cases are left to :func:`unmatched_answers`.
+
+    The analyses are written out, since three places read them. Cases without an answer
+    are found by counting keys, not by a join; they and the answers then meet the cases
+    in one join, in which a case with very many answers can be split.
     """
+    analyses = stage(analyses, "analyses")
     if models is None:
-        models = sorted(r.model for r in analyses.select("model").distinct().collect())
+        named = analyses.where("model IS NOT NULL").agg(F.sort_array(F.collect_set("model")).alias("names"))
+        names = named.scalar()
+    else:
+        names = F.array([F.lit(m) for m in models]).cast("array<string>")
     own = [c for c in ("input",) if c in cases.columns]
     expected = cases.select(
-        key,
-        *own,
-        "expected_category",
-        "expected_root_cause",
-        "expected_recommendation",
-        F.explode(F.array([F.lit(m) for m in models]).cast("array<string>")).alias("model"),
+        key, *own, "expected_category", "expected_root_cause", "expected_recommendation"
     )
-    answers = analyses.drop(*own)
-    right = F.col("category").eqNullSafe(F.col("expected_category"))
-    # An inner join and the cases it leaves out, as an outer join could not split a
-    # case with very many answers.
-    matched = answers.join(expected, [key, "model"]).withColumn("category_correct", right)
-    answered = answers.select(key, "model").distinct()
-    missing = expected.join(answered, [key, "model"], "left_anti")
-    missing = missing.withColumn("category_correct", F.lit(False))
+    answered = analyses.select(key, "model", F.lit(True).alias("_answered"))
+    asked = cases.select(key, F.explode(names).alias("model"), F.lit(False).alias("_answered"))
+    seen = asked.unionByName(answered).groupBy(key, "model").agg(F.max("_answered").alias("_answered"))
+    missing = seen.where("NOT _answered")
+    answers = analyses.drop(*own).withColumn("_answered", F.lit(True))
+    known = F.col("model").isNotNull() if models is None else F.col("model").isin(*models)
+    answers = answers.where(known)
+    rows = answers.unionByName(missing, allowMissingColumns=True)
+    scored = rows.join(expected, key)
+    right = F.col("category").eqNullSafe(F.col("expected_category")) & F.col("_answered")
+    scored = scored.withColumn("category_correct", right)
     if "is_valid" in analyses.columns:
-        missing = missing.withColumn("is_valid", F.lit(False))
-    return matched.unionByName(missing, allowMissingColumns=True)
+        scored = scored.withColumn("is_valid", F.col("_answered") & F.col("is_valid"))
+    return scored.drop("_answered")
 
 
 def unmatched_answers(analyses, cases, key="case_id"):

@@ -80,6 +80,34 @@ def embed(df, text, factory, name="embedding", batch_size=256):
     return apply_model(df, text, factory, name, vector, batch_size)
 
 
+def embed_together(df, columns, factory, batch_size=256):
+    """Add ``<column>_vector`` for several text columns.
+
+    A text that a batch of rows holds more than once goes to the model once.
+    """
+    call = uuid.uuid4().hex
+    vector = T.ArrayType(T.FloatType())
+    schema = T.StructType(
+        df.schema.fields + [T.StructField(f"{column}_vector", vector) for column in columns]
+    )
+
+    def run(batches):
+        for batch in batches:
+            texts = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
+            distinct = [*dict.fromkeys(t for values in texts for t in values if t is not None)]
+            known = {None: None}
+            for start in range(0, len(distinct), batch_size):
+                chosen = distinct[start : start + batch_size]
+                made = _loaded(call, factory)(chosen)
+                if len(made) != len(chosen):
+                    raise ValueError(f"the model gave {len(made)} answers to {len(chosen)} texts")
+                known.update(zip(chosen, made))
+            added = [pa.array([known[t] for t in values], to_arrow_type(vector)) for values in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def tokenize_with(df, text, factory, name="ids", batch_size=256):
     """Add the ids that a tokenizer library gives each text."""
     ids = T.ArrayType(T.IntegerType())

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gradeloom.functions.vectors import cosine
-from gradeloom.operators.inference import embed
+from gradeloom.operators.inference import embed_together
 from gradeloom.operators.ordering import number_rows
 from gradeloom.sources.staging import stage
 
@@ -36,21 +36,49 @@ def field_similarity(df, valid="is_valid"):
     )
 
 
+def _pair_key(predicted, expected):
+    """128 bits that stand for a pair of texts; null when either is."""
+    size = F.octet_length(predicted).cast("string")
+    return F.unhex(F.md5(F.concat(size, F.lit(":"), predicted, expected)))
+
+
+def pair_table(pairs, factory, name="text-pairs"):
+    """``(key, similarity)`` of ``(key, predicted, expected)`` rows, written out.
+
+    Each distinct pair is embedded and compared once; a text that several pairs of a
+    batch share goes to the model once for them. Texts and vectors end here.
+    """
+    distinct = pairs.groupBy("key").agg(
+        F.any_value("predicted").alias("predicted"), F.any_value("expected").alias("expected")
+    )
+    vectors = embed_together(distinct, ["predicted", "expected"], factory)
+    compared = add_cosine(vectors, "predicted_vector", "expected_vector")
+    return stage(compared.select("key", "similarity"), name)
+
+
 def text_similarity(df, factory, valid="is_valid", fields=FIELDS):
     """Similarity of each predicted field's text to the expected one, on valid rows.
 
-    ``factory`` gives an embedding model. Each distinct text is embedded once; a pair of
-    vectors is dropped as soon as its cosine is known. A null text has no similarity.
+    ``factory`` gives an embedding model. The rows are written out with a key for each
+    pair of texts, so that what gave the texts is worked out once; only keys and cosines
+    are joined. A null text has no similarity.
     """
-    sides = [f"{prefix}{field}" for field in fields for prefix in ("", "expected_")]
-    texts = df.where(F.col(valid)).select(F.explode(F.array(*sides)).alias("_text"))
-    texts = texts.where("_text IS NOT NULL").distinct()
-    vectors = stage(embed(texts, "_text", factory, "_vector"), "text-vectors")
+    keys = {
+        f"_{field}_key": F.when(F.col(valid), _pair_key(F.col(field), F.col(f"expected_{field}")))
+        for field in fields
+    }
+    rows = stage(df.withColumns(keys), "compared-rows")
+    pairs = [
+        F.struct(
+            F.col(f"_{field}_key").alias("key"),
+            F.col(field).alias("predicted"),
+            F.col(f"expected_{field}").alias("expected"),
+        )
+        for field in fields
+    ]
+    pairs = rows.select(F.explode(F.array(*pairs)).alias("_pair")).select("_pair.*")
+    known = pair_table(pairs.where("key IS NOT NULL"), factory)
     for field in fields:
-        for side in ("", "expected_"):
-            own = vectors.toDF(f"_{side}text", f"_{side}vector")
-            text = F.when(F.col(valid), F.col(f"{side}{field}"))
-            df = df.withColumn(f"_{side}text", text).join(own, f"_{side}text", "left")
-        df = add_cosine(df, "_vector", "_expected_vector", f"{field}_similarity")
-        df = df.drop("_text", "_vector", "_expected_text", "_expected_vector")
-    return df
+        own = known.toDF(f"_{field}_key", f"{field}_similarity")
+        rows = rows.join(own, f"_{field}_key", "left")
+    return rows.drop(*keys)

@@ -75,6 +75,54 @@ def test_no_match_and_duplicate_cases(spark):
     assert (accuracy["cases"], accuracy["category_accuracy"]) == (4, 25.0)
 
 
+def test_answers_of_other_models_are_left_out(spark):
+    analyses = spark.createDataFrame(
+        [(1, "base", "A", True), (1, None, "A", True), (1, "tuned", "A", None), (2, "other", "B", True)],
+        "case_id int, model string, category string, is_valid boolean",
+    )
+    cases = spark.createDataFrame(
+        [(1, "A", "x", "y"), (2, None, "x", "y")],
+        "case_id int, expected_category string, expected_root_cause string, "
+        "expected_recommendation string",
+    )
+    rows = evaluation.score_cases(analyses, cases, models=["base", "silent"]).collect()
+    got = sorted((r.model, r.case_id, r.category_correct, r.is_valid) for r in rows)
+    assert got == [("base", 1, True, True), ("base", 2, False, False), ("silent", 1, False, False), ("silent", 2, False, False)]
+    rows = evaluation.score_cases(analyses, cases).collect()
+    assert {(r.model, r.case_id) for r in rows} == {(m, c) for m in ("base", "tuned", "other") for c in (1, 2)}
+    assert [r.is_valid for r in rows if r.model == "tuned" and r.case_id == 1] == [None]
+
+
+def test_each_pair_is_embedded_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def factory():
+        import os
+        import uuid
+
+        def vectors(texts):
+            for text in texts:
+                with open(os.path.join(folder, uuid.uuid4().hex), "w") as seen:
+                    seen.write(text)
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return vectors
+
+    rows = [(i, "same" if i % 3 else f"own {i % 2}", "wanted", "a", "a" if i % 2 else None, i % 5 > 0) for i in range(60)]
+    df = spark.createDataFrame(
+        rows, "n int, root_cause string, expected_root_cause string, recommendation string, "
+        "expected_recommendation string, is_valid boolean",
+    ).repartition(6)
+    found = {r.n: r for r in similarity.text_similarity(df, factory).collect()}
+    for n, cause, wanted, advice, expected, valid in rows:
+        cosine = (len(cause) * len(wanted) + 1) / math.hypot(len(cause), 1) / math.hypot(len(wanted), 1)
+        assert found[n].root_cause_similarity == (pytest.approx(cosine) if valid else None)
+        assert found[n].recommendation_similarity == (pytest.approx(1.0) if valid and expected else None)
+    # Four distinct pairs; a text is embedded for each of its pairs at most.
+    texts = [p.read_text() for p in tmp_path.iterdir()]
+    assert set(texts) == {"same", "own 0", "own 1", "wanted", "a"} and len(texts) <= 7
+
+
 def test_places_go_by_order(spark):
     df = spark.createDataFrame([(10, "a"), (30, "c"), (20, "b")], "example_id int, category string")
     listing = {r["number"]: r["category"] for r in profile.category_listing(df).collect()}

@@ -97,6 +97,29 @@ def test_unknown_and_special(spark, rows, words, max_tokens):
     assert text == "assistant\nhello \n x y"
 
 
+def test_slices_join_their_distinct_tokens_only(spark):
+    texts = [(n, ["a"] * 50 + ["b", f"own {n}"] if n % 7 else None) for n in range(40)] + [(40, []), (41, ["a", None, "a"])]
+    df = spark.createDataFrame(texts, "n int, tokens array<string>").coalesce(1)
+    sliced = V.slice_items(df, slice_items=300)
+    entries = sliced.entries.collect()
+    assert len({e._slice for e in entries}) > 4
+    assert len(entries) == len({(e._slice, e.item) for e in entries}) < 100
+    words = stage(V.build_vocabulary(sliced), "vocabulary")
+    counts = collections.Counter(t for _, tokens in texts for t in tokens or [] if t)
+    assert {r["token"]: r["count"] for r in words.collect()} == counts
+    ids = {r["token"]: r["id"] for r in words.collect()}
+    for max_tokens in (1, 3, 30_000):
+        rows = {r["n"]: r for r in V.encode(sliced, words, max_tokens=max_tokens).collect()}
+        for n, tokens in texts:
+            assert rows[n]["tokens"] == tokens
+            assert rows[n]["ids"] == (None if tokens is None else [ids.get(t, V.UNKNOWN_ID) for t in tokens])
+        back = V.decode(V.encode_slices(sliced, words, max_tokens), words, max_tokens=max_tokens)
+        for r in back.collect():
+            tokens = texts[r["n"]][1]
+            known = None if tokens is None else "".join(t or V.UNKNOWN_TOKEN for t in tokens)
+            assert r["decoded"] == known
+
+
 MARK = [7, 8, 9]
 SEQUENCES = [
     [1, 7, 8, 9, 2, 3],
