@@ -64,14 +64,17 @@ def generate(
 
     Decoding is meant to be greedy, so that a task that runs again gives the same
     answers. Write the result out before several jobs read it (``stage``), or
-    each of them generates anew.
+    each of them generates anew; ``answers.generate_stored`` also goes on from a broken run.
     """
+    return apply_model(df, prompt, limited(factory, max_new_tokens), name, T.StringType(), batch_size)
 
-    def limited():
+
+def limited(factory, max_new_tokens):
+    def load():
         model = factory()
         return lambda texts: model(texts, max_new_tokens)
 
-    return apply_model(df, prompt, limited, name, T.StringType(), batch_size)
+    return load
 
 
 def embed(df, text, factory, name="embedding", batch_size=256):

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from gradeloom.sources.arrays import read_array_elements
+
 OUTPUT = "struct<category:string,root_cause:string,recommendation:string>"
 # `output` is read as a variant, so that one element with a wrong shape spoils
 # only its own row and the validator can still see what was there.
@@ -31,19 +33,12 @@ def read_table(spark, path):
 
 
 def _elements(spark, path, schema):
-    """Elements of the JSON arrays in ``path`` with their 0-based place in the file.
-
-    An array is one value, which one task has to parse; large inputs belong in JSON
-    Lines, which split.
-    """
-    files = spark.read.text(path, wholetext=True)
+    """Elements of the JSON arrays in ``path`` with their 0-based place in the file."""
     fields = [field.split(" ", 1) for field in schema.split(", ")]
-    names = ", ".join(f"try_variant_get(element, '$.{name}', '{kind}') AS {name}" for name, kind in fields)
-    return spark.sql(
-        f"SELECT CAST(pos AS BIGINT) AS _place, {names} "
-        "FROM {files} AS f, LATERAL variant_explode(parse_json(f.value)) AS e(pos, key, element)",
-        files=files,
-    )
+    element = F.parse_json("element")
+    rows = read_array_elements(spark, path).select(F.col("place").alias("_place"), element.alias("_element"))
+    named = [F.try_variant_get("_element", f"$.{name}", kind).alias(name) for name, kind in fields]
+    return rows.select("_place", *named)
 
 
 def _keyed_rows(spark, path, schema, key, multi_line):
