@@ -124,7 +124,8 @@ def word_overlap(spark, sf_dir):
 FROM scored""",
 )
 def evaluate_prediction(spark, sf_dir):
-    rows = evaluation.add_overlap(scored(spark, sf_dir))
+    cases = evaluation.with_reference_words(fixture(spark, sf_dir, "eval_cases"))
+    rows = evaluation.add_overlap(evaluation.score_cases(analysed(spark, sf_dir), cases))
     return rows.select(
         "response_id",
         "category_correct",

@@ -6,6 +6,7 @@ from gradeloom.catalog.data_queries import run_logs
 from gradeloom.catalog.fixtures import duckdb_ctes, fixture, table
 from gradeloom.catalog.registry import query
 from gradeloom.operators import runlog, training
+from gradeloom.sources.staging import stage
 
 
 def entries(spark, sf_dir):
@@ -91,6 +92,33 @@ def step_assignment(spark, sf_dir):
     )
 
 
+SHARDS = 4
+_NUMBER = "CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT)"
+
+
+@query(
+    "shard_steps",
+    duckdb_ctes("examples")[:-1]
+    + f""",
+dealt AS (SELECT example_id, {_NUMBER.format("'42-shard-' || CAST(example_id AS VARCHAR)")} % {SHARDS} AS shard
+ FROM examples),
+slots AS (SELECT example_id, shard, count(*) OVER (PARTITION BY shard) AS n,
+ row_number() OVER (PARTITION BY shard ORDER BY md5('42-' || CAST(example_id AS VARCHAR)), example_id) - 1 AS slot
+ FROM dealt),
+drawn AS (SELECT *, {_NUMBER.format("'42-2-' || CAST(shard AS VARCHAR)")} AS d FROM slots),
+placed AS (SELECT *, (slot * ([2147483647, 2147483629, 2147483587, 2147483579][d % 4 + 1] % n) + d) % n AS place
+ FROM drawn)
+SELECT example_id, shard, CAST(place AS BIGINT) AS place, CAST(place // 4 + 1 AS BIGINT) AS step
+FROM placed WHERE shard <> 1 OR place >= 10""",
+)
+def shard_steps(spark, sf_dir):
+    """The second epoch of a feed of four shards; one has taken ten rows of it already."""
+    examples = fixture(spark, sf_dir, "examples").select("example_id")
+    feed = stage(training.shard_feed(examples, SHARDS), "feed")
+    done = spark.createDataFrame([(1, 10)], "shard long, position long")
+    return training.epoch_feed(feed, 2, done=done).select("example_id", "shard", "place", "step")
+
+
 @query(
     "running_tokens",
     """SELECT user_id AS run_id, event_id AS step, CAST(sum(length(props)) OVER (

@@ -203,6 +203,8 @@ def loss_mask(spark, sf_dir):
     + """SELECT count(*) AS sequences, CAST(count(*) FILTER (WHERE start IS NULL) AS BIGINT)
   AS without_answer, min(len(ids)) AS min_tokens,
  round(avg(len(ids)), 6) AS avg_tokens, max(len(ids)) AS max_tokens,
+ quantile_disc(len(ids), 0.5) AS p50_tokens, quantile_disc(len(ids), 0.95) AS p95_tokens,
+ quantile_disc(len(ids), 0.99) AS p99_tokens,
  CAST(sum(coalesce(start, len(ids))) AS BIGINT) AS ignored_tokens,
  CAST(sum(len(ids) - coalesce(start, len(ids))) AS BIGINT) AS supervised_tokens
 FROM masked""",
@@ -216,6 +218,9 @@ def seq_length_stats(spark, sf_dir):
         F.col("min_tokens").cast("long").alias("min_tokens"),
         F.round("avg_tokens", 6).alias("avg_tokens"),
         F.col("max_tokens").cast("long").alias("max_tokens"),
+        "p50_tokens",
+        "p95_tokens",
+        "p99_tokens",
         "ignored_tokens",
         "supervised_tokens",
     )

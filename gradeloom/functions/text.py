@@ -33,6 +33,11 @@ def word_set(text):
     return F.array_remove(F.array_distinct(F.split(normalize_text(text), " ")), "")
 
 
+def word_hashes(text):
+    """The distinct words as sorted 64-bit hashes, which are small to move and compare."""
+    return F.sort_array(F.array_distinct(F.transform(word_set(text), lambda word: F.xxhash64(word))))
+
+
 def overlap_of_sets(reference_words, predicted_words):
     """Share of the reference words found in the prediction; 0.0 without any."""
     found = F.size(F.array_intersect(reference_words, predicted_words))

@@ -7,7 +7,7 @@ cases at run time.
 
 from pyspark.sql import functions as F
 
-from gradeloom.functions.text import overlap_of_sets, word_set
+from gradeloom.functions.text import overlap_of_sets, word_hashes
 from gradeloom.sources.staging import stage
 
 METRICS = [
@@ -18,6 +18,10 @@ METRICS = [
 ]
 
 
+TEXT_FIELDS = ["root_cause", "recommendation"]
+_WORDS = {field: f"expected_{field}_words" for field in TEXT_FIELDS}
+
+
 def score_cases(analyses, cases, key="case_id", models=None):
     """Every case for every model with its answer and ``category_correct``.
 
@@ -35,7 +39,7 @@ def score_cases(analyses, cases, key="case_id", models=None):
         names = named.scalar()
     else:
         names = F.array([F.lit(m) for m in models]).cast("array<string>")
-    own = [c for c in ("input",) if c in cases.columns]
+    own = [c for c in ("input", *_WORDS.values()) if c in cases.columns]
     expected = cases.select(
         key, *own, "expected_category", "expected_root_cause", "expected_recommendation"
     )
@@ -60,29 +64,28 @@ def unmatched_answers(analyses, cases, key="case_id"):
     return analyses.join(cases.select(key), key, "left_anti")
 
 
+def with_reference_words(cases):
+    """Add the word sets of the expected texts, made once per case.
+
+    :func:`score_cases` hands them on, and :func:`add_overlap` uses them in place of the
+    texts.
+    """
+    return cases.withColumns({name: word_hashes(F.col(f"expected_{field}")) for field, name in _WORDS.items()})
+
+
 def add_overlap(scored):
     """Add word overlap of both text fields with the expected ones."""
-    sources = {
-        "_expected_cause": "expected_root_cause",
-        "_cause": "root_cause",
-        "_expected_advice": "expected_recommendation",
-        "_advice": "recommendation",
+    made = {
+        name: word_hashes(F.col(f"expected_{field}"))
+        for field, name in _WORDS.items()
+        if name not in scored.columns
     }
-    sets = {name: word_set(F.col(column)) for name, column in sources.items()}
-    return (
-        scored.withColumns(sets)
-        .withColumns(
-            {
-                "root_cause_overlap": overlap_of_sets(
-                    F.col("_expected_cause"), F.col("_cause")
-                ),
-                "recommendation_overlap": overlap_of_sets(
-                    F.col("_expected_advice"), F.col("_advice")
-                ),
-            }
-        )
-        .drop(*sets)
-    )
+    own = {f"_{field}_words": word_hashes(F.col(field)) for field in TEXT_FIELDS}
+    overlaps = {
+        f"{field}_overlap": overlap_of_sets(F.col(_WORDS[field]), F.col(f"_{field}_words"))
+        for field in TEXT_FIELDS
+    }
+    return scored.withColumns({**made, **own}).withColumns(overlaps).drop(*_WORDS.values(), *own)
 
 
 def percentage(condition):

@@ -38,6 +38,55 @@ def assign_steps(
     )
 
 
+#: Larger than any shard, so that they share no factor with its number of rows.
+_PRIMES = (2_147_483_647, 2_147_483_629, 2_147_483_587, 2_147_483_579)
+MAX_SHARD_ROWS = 2_000_000_000
+
+
+def _hash_number(*parts):
+    text = F.concat_ws("-", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def shard_feed(examples, shards, key="example_id", seed=C.SHUFFLE_SEED):
+    """Add ``shard``, ``slot`` and ``shard_rows``: a feed to be written once.
+
+    A hash of seed and key deals the rows to shards and gives each a slot in its shard,
+    from 0. Every epoch then takes the slots in an order of its own, which is worked out
+    and not sorted, see :func:`epoch_feed`. A shard has at most ``MAX_SHARD_ROWS`` rows.
+    """
+    named = F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))
+    rows = examples.withColumn("_hash", F.md5(named)).withColumn(
+        "shard", _hash_number(F.lit(seed), F.lit("shard"), F.col(key)) % shards
+    )
+    numbered = number_by_hash(rows, "_hash", [key], "slot", within=["shard"])
+    few = F.col("group_rows") <= MAX_SHARD_ROWS
+    rows = F.when(few, F.col("group_rows")).otherwise(F.raise_error(F.lit("use more shards")).cast("long"))
+    numbered = numbered.withColumn("slot", F.col("slot").cast("long") - 1)
+    return numbered.withColumn("shard_rows", rows).drop("_hash", "group_rows")
+
+
+def epoch_feed(feed, epoch, seed=C.SHUFFLE_SEED, accumulation=C.GRADIENT_ACCUMULATION, done=None):
+    """The rows of an epoch with their ``place`` in their shard, from 0, and ``step``.
+
+    A narrow stage: the place is an affine permutation of the slots, drawn by seed, epoch
+    and shard, so a feed that stopped goes on without ordering the epoch again. ``done``
+    has ``(shard, position)``: how many rows of the epoch each shard has taken; they are
+    left out. Shards it does not name have taken none.
+    """
+    drawn = _hash_number(F.lit(seed), F.lit(epoch), F.col("shard"))
+    prime = F.get(F.array(*[F.lit(p) for p in _PRIMES]), (drawn % len(_PRIMES)).cast("int"))
+    rows = F.col("shard_rows")
+    place = (F.col("slot") * (prime % rows) + drawn) % rows
+    taken = feed.withColumn("epoch", F.lit(epoch)).withColumn("place", place)
+    taken = taken.withColumn("step", F.floor(F.col("place") / accumulation) + 1)
+    if done is None:
+        return taken
+    position = done.select(F.col("shard").alias("_shard"), F.col("position").alias("_position"))
+    taken = taken.join(position, F.col("shard") == F.col("_shard"), "left")
+    return taken.where(F.col("place") >= F.coalesce("_position", F.lit(0))).drop("_shard", "_position")
+
+
 def running_tokens(steps, run="run_id", step="step", tokens="tokens"):
     """Add ``num_tokens``: tokens seen by the run up to each step."""
     return running_sum(steps, tokens, step, "num_tokens", within=[run])

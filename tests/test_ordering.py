@@ -92,3 +92,23 @@ def test_rank_candidates(spark):
     )
     found = {(r[0], r[1]): r["rank"] for r in similarity.rank_candidates(pairs).collect()}
     assert found == {(1, 12): 1, (1, 11): 2, (1, 13): 3, (2, 11): 1}
+
+
+@pytest.mark.parametrize("rows", [1, 7, 500])
+def test_a_sharded_feed_goes_on_where_it_stopped(spark, rows):
+    feed = training.shard_feed(spark.range(rows).withColumnRenamed("id", "example_id"), 3).cache()
+    orders = []
+    for epoch in (1, 2):
+        own = training.epoch_feed(feed, epoch).collect()
+        shards = {}
+        for r in own:
+            shards.setdefault(r.shard, {})[r.place] = r.example_id
+            assert r.step == r.place // 4 + 1
+        assert all(sorted(s) == list(range(len(s))) for s in shards.values())
+        assert sorted(r.example_id for r in own) == list(range(rows))
+        orders.append(shards)
+        done = spark.createDataFrame([(0, 2), (2, 1000)], "shard long, position long")
+        left = training.epoch_feed(feed, epoch, done=done).collect()
+        expected = {i for s, places in shards.items() for p, i in places.items() if p >= {0: 2, 2: 1000}.get(s, 0)}
+        assert {r.example_id for r in left} == expected
+    assert rows < 500 or orders[0] != orders[1]

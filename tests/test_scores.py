@@ -281,3 +281,41 @@ def test_validation_report_of_good_data_is_empty(spark):
     checked = quality.validate_examples(df)
     assert checked.first()["errors"] == []
     assert quality.validation_report(checked).count() == 0
+
+
+def test_percentiles_from_merged_sketches(spark):
+    lengths = spark.range(60_000).select(
+        (F.col("id") % 7).alias("part"),
+        F.pow(F.col("id") % 1000, 2).cast("int").alias("token_count"),
+        F.lit(True).alias("has_answer"),
+        F.lit(1).alias("ignored_count"),
+        F.lit(2).alias("supervised_count"),
+    )
+    parts = profile.length_sketches(lengths, ["part"])
+    merged = profile.length_stats(profile.merge_length_sketches(parts)).first()
+    whole = profile.sequence_length_stats(lengths).first()
+    assert (merged.sequences, merged.min_tokens, merged.max_tokens) == (60_000, 0, 998_001)
+    assert merged.avg_tokens == whole.avg_tokens
+    for row in (merged, whole):
+        for p in profile.PERCENTILES:
+            rank = (math.isqrt(row[f"p{p}_tokens"]) + 1) / 1000
+            assert abs(rank - p / 100) < 0.004
+    nothing = profile.sequence_length_stats(lengths.limit(0)).first()
+    assert nothing.sequences == 0 and nothing.p50_tokens is None
+
+
+def test_reference_words_before_and_after_the_join(spark):
+    cases = spark.createDataFrame(
+        [(1, "A", "The load; the LOAD failed", ""), (2, "B", "x y", None)],
+        "case_id int, expected_category string, expected_root_cause string, expected_recommendation string",
+    )
+    answers = spark.createDataFrame(
+        [(1, "m", "A", "load it", "retry"), (2, "m", "B", None, "y")],
+        "case_id int, model string, category string, root_cause string, recommendation string",
+    )
+    names = ["case_id", "root_cause_overlap", "recommendation_overlap"]
+    early = evaluation.add_overlap(evaluation.score_cases(answers, evaluation.with_reference_words(cases)))
+    late = evaluation.add_overlap(evaluation.score_cases(answers, cases))
+    assert early.columns == late.columns
+    assert sorted(early.select(names).collect()) == sorted(late.select(names).collect())
+    assert {r.case_id: r.root_cause_overlap for r in late.collect()}[1] == pytest.approx(1 / 3)
