@@ -26,6 +26,8 @@ from gradeloom.sources.staging import stage
 ALPHABET = "abcdefghijklmnopqrstuvwxyzàáâäçèéêëíîïñóôöùúûüßœæåø"
 SYMBOLS = 64  # 0 is everything that is no letter of the alphabet
 CACHED_WORDS = 400_000
+#: Characters that are counted at a time, whatever a batch or a text holds.
+PIECE = 1 << 20
 CACHED_WORD_CHARS = 48
 THRESHOLD = 0.7
 
@@ -84,21 +86,42 @@ def symbol_counts(text):
     return np.bincount(triples, minlength=1)
 
 
+def _pieces(texts):
+    """Texts, parted and ended by line breaks, in pieces of about ``PIECE`` characters.
+
+    A text that is cut gives both sides the two characters at the cut, so that every
+    triple is counted and none twice.
+    """
+    held, size = ["\n\n"], 2
+    for text in filter(None, texts):
+        start = 0
+        while len(text) - start > PIECE:
+            yield "".join([*held, text[start : start + PIECE]])
+            start += PIECE
+            held, size = [text[start - 2 : start]], 2
+        held += [text[start:], "\n\n"]
+        size += len(text) - start + 2
+        if size >= PIECE:
+            yield "".join(held)
+            held, size = ["\n\n"], 2
+    if size > 2:
+        yield "".join(held)
+
+
 def fit_language_model(df, text="text"):
-    """Model of all texts. Each batch is counted on its own; the sums of a fixed number
-    of triples go to the driver. Without texts all characters are alike."""
+    """Model of all texts. Each task adds up its texts, a piece at a time; the sums of a
+    fixed number of triples go to the driver. Without texts all characters are alike."""
 
     def count_batches(batches):
+        total = np.zeros(SYMBOLS**3, np.int64)
         for batch in batches:
-            total = np.zeros(SYMBOLS**3, np.int64)
-            texts = [t for t in batch.column(0).to_pylist() if t]
-            if texts:
-                found = symbol_counts("\n\n" + "\n\n".join(texts) + "\n\n")
-                total[: len(found)] = found
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["triple", "n"]
-            )
+            for piece in _pieces(t.as_py() for t in batch.column(0) if t.is_valid):
+                found = symbol_counts(piece)
+                total[: len(found)] += found
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["triple", "n"]
+        )
 
     counted = df.select(text).mapInArrow(count_batches, "triple int, n long")
     rows = counted.groupBy("triple").agg(F.sum("n").alias("n")).toPandas()

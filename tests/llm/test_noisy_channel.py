@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,65 @@ def test_language_model_counts_every_text(spark):
     assert nc.symbol_counts("\n\nab\n\n")[(0 * 64 + a) * 64 + b] == 1
 
 
+def test_pieces_count_as_the_whole(monkeypatch):
+    texts = ["abc def", "x", "long text " * 9, "yz"]
+    whole = nc.symbol_counts("\n\n" + "\n\n".join(texts) + "\n\n")
+    monkeypatch.setattr(nc, "PIECE", 7)
+    total = np.zeros(nc.SYMBOLS**3, np.int64)
+    pieces = [*nc._pieces(texts)]
+    for piece in pieces:
+        found = nc.symbol_counts(piece)
+        total[: len(found)] += found
+    assert len(pieces) > 10 and (total[: len(whole)] == whole).all() and total.sum() == whole.sum()
+
+
+def test_counting_takes_little_memory(spark):
+    """A text of 30 MB, and 10,000 texts in one batch."""
+    import resource
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words of a text " * 120] * 10_000)], ["text"])
+    long = pa.RecordBatch.from_arrays([pa.array(["many words " * 2_700_000])], ["text"])
+    for given in (batch, long):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        for piece in nc._pieces(t.as_py() for t in given.column(0)):
+            nc.symbol_counts(piece)
+        assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000
+
+
+def brute_scores(rows, labels, model):
+    """Scores from the definition: every word by the likeliest reading, two strongest."""
+    reader = nc.Reader(model.log, model.beginnings)
+    out = {}
+    for key, text in rows:
+        tokens = (text or "").split()
+        tokens += reader.spaced(text or "")
+        values = sorted((max((model.weights.get(k, 0.0) for k in reader.keys(t)), default=0.0) for t in tokens), reverse=True)
+        a, b = model.curve
+        out[key] = 1 / (1 + np.exp(-np.clip(a + b * sum(values[:2]), -30, 30)))
+    return out
+
+
+def test_query_against_brute_force(spark):
+    """Weights from plain counts over the rows learned from, scores from plain sums."""
+    sf = "/root/testdata/sf0.01"
+    documents = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    model = nc.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    counts = np.zeros(nc.SYMBOLS**3)
+    for _, text in documents:
+        found = nc.symbol_counts("\n\n" + text + "\n\n") if text else []
+        counts[: len(found)] += found
+    # Line breaks between texts are counted a little differently in one long run.
+    plain = np.array(nc.LanguageModel(counts).log)
+    assert np.abs(plain[1:, 1:, 1:] - np.array(model.log)[1:, 1:, 1:]).max() < 0.05
+    found = {r.doc_id: r for r in nc.op7_noisy_channel(spark, sf).collect()}
+    expected = brute_scores(documents, labels, model)
+    assert set(found) == set(expected)
+    for key, value in expected.items():
+        assert found[key].score == pytest.approx(value)
+        assert found[key].held_out == (zlib.crc32(str(key).encode()) % 3 == 1)
+
+
 def test_odd_rows(spark, model):
     rows = [(1, None, 0.5), (1, None, 0.5), (None, "", 0.5), (2, "x" * 200000, 0.5), (3, "1" * 9999 + "a", 0.5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score double")
