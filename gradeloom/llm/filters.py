@@ -32,24 +32,24 @@ def held(found, values, bits):
     return (found[place // np.uint64(32)] >> (place % np.uint64(32)).astype(np.uint32)) & np.uint32(1) == 1
 
 
+def may_hold(spark, found, value, bits):
+    """Column that is true where the filter may hold a long value, null for a null one.
+
+    The filter is one array that travels with the job and is asked by expressions, so no
+    row leaves the JVM for it.
+    """
+    words = pa.table({"words": pa.array([found.view(np.int32)], pa.list_(pa.int32()))})
+    place = F.pmod(value, F.lit(bits))
+    word = F.get(spark.createDataFrame(words).scalar(), F.floor(place / 32).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1), (place % 32).cast("int"))
+    return word.bitwiseAND(bit) != 0
+
+
 def split(df, rows, key, bits=SPLIT_BITS):
     """(rows of ``df`` whose key is not in ``rows``, the rest) by a filter.
 
     The rest may hold some rows that have no partner either. Null keys are in the rest.
     """
     found = filter_of(rows.select(F.xxhash64(key).alias("_name")), "_name", bits)
-    marked = df.withColumn("_name", F.xxhash64(key))
-    names = df.columns
-
-    def passing(wanted):
-        def run(batches):
-            for batch in batches:
-                values = batch.column("_name").to_numpy(zero_copy_only=False).view(np.uint64)
-                mask = held(found, values, bits)
-                if batch.column(key).null_count:
-                    mask = mask | batch.column(key).is_null().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(mask == wanted)).select(names)
-
-        return run
-
-    return tuple(marked.mapInArrow(passing(wanted), df.schema) for wanted in (False, True))
+    may = F.col(key).isNull() | may_hold(df.sparkSession, found, F.xxhash64(key), bits)
+    return df.where(~may), df.where(may)

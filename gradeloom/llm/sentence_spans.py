@@ -8,9 +8,9 @@ A long sentence is cut after each clause, and a long clause where the words them
 say so, so that a shared passage is cut alike wherever it starts. Scripts without spaces
 count by characters.
 
-Only hashes are shuffled. Spans that stand once are dropped where they are made, by a
-filter of fixed size over the repeated ones, and texts without a repeated span are not
-moved at all.
+Only hashes are shuffled. The spans are written once, as one row of arrays per text; those
+that stand once are dropped from it by a filter of fixed size over the repeated ones, and
+texts without a repeated span are not moved at all.
 """
 
 import itertools
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F, types as T
 
 from gradeloom.llm.catalog import query
 from gradeloom.llm.filters import filter_of, held, split
-from gradeloom.llm.run_index import _gathered
 from gradeloom.llm.tables import read
 from gradeloom.sources.staging import stage
 
@@ -120,33 +119,62 @@ def spans(parts):
     return found
 
 
-_SPANS = "ha long, hb long, doc long, first long, n long"
+_SPANS = "doc long, ha array<long>, hb array<long>, first array<int>, n array<int>"
+#: Spans of the texts that go into one batch.
+BATCH_SPANS = 50_000
 
 
-def _span_batches(batches, wanted=None):
+def _span_batches(batches):
+    """The spans of each text that has any, as arrays."""
+    docs, rows, size = [], [], 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            rows = spans(sentences(text.as_py() or ""))
-            if not rows:
-                continue
-            ha, hb, first, n = np.array(rows, np.int64).T
-            if wanted is not None:
-                at = np.flatnonzero(held(wanted, ha.view(np.uint64), FILTER_BITS))
-                ha, hb, first, n = ha[at], hb[at], first[at], n[at]
-            docs = np.full(len(ha), doc, np.int64)
-            columns = [pa.array(c) for c in (ha, hb, docs, first, n)]
+            found = spans(sentences(text.as_py() or ""))
+            if found:
+                docs.append(doc)
+                rows.append(np.array(found, np.int64))
+                size += len(found)
+            if size >= BATCH_SPANS:
+                yield _span_arrays(docs, rows)
+                docs, rows, size = [], [], 0
+    if docs:
+        yield _span_arrays(docs, rows)
+
+
+def _span_arrays(docs, rows):
+    offsets = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
+    ha, hb, first, n = np.concatenate(rows).T
+    values = [pa.array(ha), pa.array(hb), pa.array(first, pa.int32()), pa.array(n, pa.int32())]
+    lists = [pa.ListArray.from_arrays(offsets, column) for column in values]
+    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *lists], ["doc", "ha", "hb", "first", "n"])
+
+
+def _repeated_batches(wanted):
+    """(ha, hb, doc, first, n) of the spans that the filter may hold."""
+
+    def run(batches):
+        for batch in batches:
+            ha, hb, first, n = (
+                batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("ha", "hb", "first", "n")
+            )
+            lengths = batch.column("ha").value_lengths().to_numpy(zero_copy_only=False)
+            docs = np.repeat(batch.column("doc").to_numpy(zero_copy_only=False), lengths)
+            at = np.flatnonzero(held(wanted, ha.view(np.uint64), FILTER_BITS))
+            columns = [pa.array(c[at]) for c in (ha, hb, docs, first, n)]
             yield pa.RecordBatch.from_arrays(columns, ["ha", "hb", "doc", "first", "n"])
 
+    return run
+
 
 def _covered(df):
     """(doc, firsts, counts) of the spans of each text that stand earlier."""
-    made = df.select("doc", "text").mapInArrow(_gathered(_span_batches, 20_000), _SPANS)
-    repeated = made.groupBy("ha", "hb").agg(F.count("*").alias("rows"), F.min(F.struct("doc", "first")).alias("head"))
+    made = stage(df.select("doc", "text").mapInArrow(_span_batches, _SPANS), "spans")
+    each = F.explode(F.arrays_zip("ha", "hb", "first"))
+    each = made.select("doc", each.alias("_span")).select("_span.ha", "_span.hb", "doc", "_span.first")
+    repeated = each.groupBy("ha", "hb").agg(F.count("*").alias("rows"), F.min(F.struct("doc", "first")).alias("head"))
     repeated = stage(repeated.where("rows > 1").select("ha", "hb", "head"), "repeated-spans")
     wanted = filter_of(repeated, "ha", FILTER_BITS)
-    again = df.select("doc", "text").mapInArrow(
-        _gathered(lambda batches: _span_batches(batches, wanted), 20_000), _SPANS
-    )
+    again = made.mapInArrow(_repeated_batches(wanted), "ha long, hb long, doc long, first int, n int")
     later = again.join(repeated, ["ha", "hb"]).where("head.doc != doc or head.first != first")
     return stage(
         later.groupBy("doc").agg(F.collect_list("first").alias("_firsts"), F.collect_list("n").alias("_counts")),
