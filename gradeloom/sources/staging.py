@@ -27,14 +27,14 @@ def staging_path(spark, name):
     return f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df, name):
-    """Write ``df`` once and read it back.
+def stage(df, name, **options):
+    """Write ``df`` once, with the given writer options, and read it back.
 
     The files outlive lost executors, later readers do not repeat the work, and
     the planner knows the real size of the result.
     """
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
