@@ -10,6 +10,7 @@ yields layouts (the lengths in one sequence) and how often each is used. Each pi
 then finds its place by its rank among the pieces of its length, in one narrow stage.
 """
 
+import os
 import re
 import struct
 import zlib
@@ -26,73 +27,92 @@ from gradeloom.sources.staging import stage
 
 CAPACITY = 1024
 END_ID = 2
-CACHED_WORDS = 500_000
+CACHED_PARTS = 1_000_000
 CACHED_WORD_CHARS = 48
-#: A space right before white space belongs to the run, not to the next word.
-_PADDED = re.compile(r" (?=\s|\Z)")
-#: After-space words of these characters fall into the parts below as in the library.
-_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: Words of these characters fall into parts as in the library by the expression below.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PLAIN = re.compile(rf"[\t\n\r -~{_LATIN}]*")
 _PART = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ A-Za-zÀ-ÖØ-öø-ÿ0-9]+"
+    rf" ?[{_LATIN}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+"
 )
+_PART_START = re.compile(r" (?=\S)")
+#: Characters of texts that are cut and encoded together.
+SEGMENT = 1 << 19
 _ENCODERS = {}
 
 
 class CachedEncoder:
     """Ids of whole texts by the tokenizers library, as little-endian bytes.
 
-    The byte-level splitter always starts a part at a space that stands before
-    another character than white space. Texts are cut there, and each distinct word is
-    encoded once per worker. A text that holds a special token goes to the library
-    whole, since special tokens are taken out before the splitting.
+    Pieces of plain characters are cut into the parts that the byte-level splitter makes.
+    It always starts a part at a space that stands before another character than white
+    space; other pieces are cut there only. Each distinct part is encoded once per worker,
+    new parts of several texts together. A text that holds a special token goes to the
+    library whole, since special tokens are taken out before the splitting.
     """
 
     def __init__(self, path):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         self._library = Tokenizer.from_file(path)
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
-        self._cache, self._parts = {}, {}
-
-    def _bytes(self, text):
-        ids = self._library.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self._cache = {}
 
     def encode(self, text):
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts):
+        """The ids of each text; the texts should be some hundred thousand characters."""
+        cuts = [self._parts(text) for text in texts]
+        found = [[*map(self._cache.get, parts)] for parts in cuts]
+        lacking = [_places_of_none(ids) for ids in found]
+        new = {parts[i] for parts, places in zip(cuts, lacking) for i in places}
+        made = self._learned([*new]) if new else {}
+        for parts, ids, places in zip(cuts, found, lacking):
+            for i in places:
+                ids[i] = made[parts[i]]
+        return [b"".join(ids) for ids in found]
+
+    def _parts(self, text):
         if any(s in text for s in self._special):
-            return self._bytes(text)
-        words = text.split(" ")
-        if _PADDED.search(text):
-            words = _join_padding(words)
-        cache = self._cache
-        first = self._bytes(words[0]) if words[0] else b""
-        found = [cache.get(w) for w in words[1:]]
-        for i, one in enumerate(found):
-            if one is None:
-                found[i] = self._after_space(words[i + 1])
-        return first + b"".join(found)
-
-    def _part(self, part):
-        found = self._parts.get(part)
+            return [text]
+        parts = []
+        for segment in _segments(text):
+            if _PLAIN.fullmatch(segment):
+                parts += _PART.findall(segment)
+            else:
+                first, *words = _join_padding(segment.split(" "))
+                parts += [first, *(" " + word for word in words)]
+        return parts
+
+    def _learned(self, parts):
+        found = self._library.encode_batch_fast(parts, add_special_tokens=False)
+        made = {part: struct.pack(f"<{len(ids)}I", *ids) for part, ids in zip(parts, (one.ids for one in found))}
+        if len(self._cache) >= CACHED_PARTS:
+            self._cache.clear()
+        self._cache.update((part, ids) for part, ids in made.items() if len(part) <= CACHED_WORD_CHARS)
+        return made
+
+
+def _places_of_none(values):
+    places, at = [], -1
+    for _ in range(values.count(None)):
+        at = values.index(None, at + 1)
+        places.append(at)
+    return places
+
+
+def _segments(text):
+    """Pieces of a text, cut where a part starts."""
+    start = 0
+    while len(text) - start > SEGMENT:
+        found = _PART_START.search(text, start + SEGMENT)
         if found is None:
-            found = self._bytes(part)
-            if len(part) <= CACHED_WORD_CHARS:
-                if len(self._parts) >= CACHED_WORDS:
-                    self._parts.clear()
-                self._parts[part] = found
-        return found
-
-    def _after_space(self, word):
-        """A word is cached without the space before it, which every one has."""
-        if _SIMPLE.fullmatch(word):
-            found = b"".join(map(self._part, _PART.findall(" " + word)))
-        else:
-            found = self._bytes(" " + word)
-        if len(word) <= CACHED_WORD_CHARS:
-            if len(self._cache) >= CACHED_WORDS:
-                self._cache.clear()
-            self._cache[word] = found
-        return found
+            break
+        yield text[start : found.start()]
+        start = found.start()
+    yield text[start:]
 
 
 def _join_padding(words):
@@ -112,6 +132,18 @@ def _encoder(path):
     return _ENCODERS[path]
 
 
+def _encoded(encoder, column):
+    """Ids of the texts of a column, encoded some at a time."""
+    held, size = [], 0
+    for value in column:
+        held.append(value.as_py() or "")
+        size += len(held[-1])
+        if size >= SEGMENT:
+            yield from encoder.encode_many(held)
+            held, size = [], 0
+    yield from encoder.encode_many(held)
+
+
 def cut(n, capacity):
     """(start, length) of each piece: full ones, a shorter one first."""
     first = n % capacity or min(n, capacity)
@@ -129,9 +161,9 @@ def token_pieces(df, path, capacity=CAPACITY, end_id=END_ID, key="doc_id", text=
     def cut_batches(batches):
         encoder = _encoder(path)
         for batch in batches:
-            rows = []
-            for key_value, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(value.as_py() or "") + end
+            rows, keys = [], iter(batch.column(0).to_pylist())
+            for ids in _encoded(encoder, batch.column(1)):
+                key_value, ids = next(keys), ids + end
                 for i, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     rows.append((key_value, i, start, length, crc))

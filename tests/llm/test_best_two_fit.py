@@ -34,6 +34,26 @@ def test_ids_of_odd_texts(text):
     assert ENCODER.encode(text) == np.asarray(_ids(text), "<u4").tobytes()
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(list("absltrvemd'.,19éœÄ \n\t\r_-")), max_size=40))
+def test_ids_of_plain_texts(text):
+    assert ENCODER.encode(text) == np.asarray(_ids(text), "<u4").tobytes()
+
+
+def test_segments_give_the_same_ids(monkeypatch):
+    text = "It's  a 12,3 test\n of \t words; ça va\u0301 " * 40 + "x" * 300
+    monkeypatch.setattr(pack, "SEGMENT", 16)
+    assert len([*pack._segments(text)]) > 50
+    assert pack.CachedEncoder(PATH).encode(text) == np.asarray(_ids(text), "<u4").tobytes()
+
+
+def test_ids_of_whole_documents():
+    import pyarrow.parquet as pq
+
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist():
+        assert ENCODER.encode(text or "") == np.asarray(_ids(text), "<u4").tobytes()
+
+
 def test_cut():
     assert pack.cut(1, 8) == [(0, 1)]
     assert pack.cut(8, 8) == [(0, 8)]
