@@ -112,7 +112,7 @@ def write_splits(spark, sf_dir):
 
 _ERRORS = """SELECT example_id, CASE fault WHEN 1 THEN 'missing fields: instruction, input'
  WHEN 2 THEN 'missing fields: instruction' WHEN 3 THEN 'missing fields: input'
- WHEN 4 THEN 'output is not a dictionary' WHEN 5 THEN 'output is not a dictionary'
+ WHEN 4 THEN 'output has to be an object' WHEN 5 THEN 'output has to be an object'
  WHEN 6 THEN 'missing output fields: root_cause, recommendation'
  WHEN 7 THEN 'missing fields: output'
  WHEN 8 THEN 'missing output fields: category, root_cause' ELSE '' END AS errors

@@ -38,7 +38,7 @@ def add_errors(examples):
     missing_output = _missing([(n, absent(n)) for n in C.REQUIRED_OUTPUT_FIELDS])
     error = (
         F.when(F.size(missing_top) > 0, _listed("missing fields: ", missing_top))
-        .when(~kind.startswith("OBJECT"), F.lit("output is not a dictionary"))
+        .when(~kind.startswith("OBJECT"), F.lit("output has to be an object"))
         .when(
             F.size(missing_output) > 0,
             _listed("missing output fields: ", missing_output),

@@ -52,3 +52,14 @@ def test_scans_read_only_what_is_used(spark, capsys):
 def test_top_k_is_limited_before_the_shuffle(spark, capsys):
     plan = plan_of(QUERIES["retain_checkpoints"](spark, SF_DIR), capsys)
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("name", ["field_similarity", "similarity_summary", "case_report"])
+def test_generated_code_stays_small_enough_to_compile(name, spark):
+    """Code that the JVM can't compile is interpreted, several times slower."""
+    before = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")  # such code is an error
+    try:
+        QUERIES[name](spark, SF_DIR).collect()
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", before)

@@ -24,8 +24,8 @@ def test_array_with_a_bad_element(spark, tmp_path):
     assert found[1]["output"] is None and found[1]["input"] == "x"
     assert found[2]["input"] is None and found[2]["output"]["category"] == "A"
     errors = {r[0]: r[1] for r in quality.validate_examples(df).collect()}
-    assert errors == {0: [], 1: ["output is not a dictionary"], 2: ["missing fields: input"],
-                      3: ["output is not a dictionary"]}
+    assert errors == {0: [], 1: ["output has to be an object"], 2: ["missing fields: input"],
+                      3: ["output has to be an object"]}
 
 
 def test_eval_cases_and_run_log(spark, tmp_path):
