@@ -39,6 +39,8 @@ _CHARS = np.random.Generator(np.random.PCG64(42)).integers(0, 2**64, 256, np.uin
 _BASE = 0x2545F4914F6CDD1D
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _POWERS = {}
+#: Bytes of text that are worked on at a time, of one text or of several.
+SEGMENT = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,8 @@ class Settings:
 
     Lists of up to ``short_list`` sets are paired; longer ones take the other way.
     Prefixes are ``matches - 1`` tokens longer than they need be, so that candidates
-    have to share as many tokens as ``matches``, or all that they must share.
+    have to share as many tokens as ``matches``, or all that they must share. The order
+    of the tokens is mended at most ``rounds`` times.
     """
 
     words: int = 4
@@ -55,15 +58,20 @@ class Settings:
     of: int = 100
     short_list: int = 24
     matches: int = 5
+    rounds: int = 6
 
 
 def _powers(n):
-    """Powers of the base and of its inverse, kept for the largest batch so far."""
+    """Powers of the base and of its inverse; those of a usual segment are kept."""
     if len(_POWERS.get("up", ())) < n:
-        for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            steps = np.full(n, base, np.uint64)
+        made = []
+        for base in (_BASE, _BASE_INVERSE):
+            steps = np.full(max(n, 1 << 16), base, np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
+            made.append(np.multiply.accumulate(steps))
+        if n > 2 * SEGMENT:
+            return made[0][:n], made[1][:n]
+        _POWERS["up"], _POWERS["down"] = made
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
@@ -72,17 +80,11 @@ def _mixed(x):
     return x ^ (x >> np.uint64(29))
 
 
-def text_sets(texts, words):
-    """Sorted distinct shingle numbers of each text of an Arrow string array.
+def _word_hashes(raw, bounds):
+    """(hash of each word, number of words before each bound) of joined texts.
 
-    Texts with fewer words than a shingle have their whole sequence as one.
+    A word ends at white space and at a bound.
     """
-    sizes = np.array([len(t) for t in texts], np.int64)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    sets = [np.zeros(0, np.uint64)] * len(texts)
-    if not len(raw):
-        return sets
     word = ~_WHITE[raw]
     first = np.zeros(len(raw) + 1, bool)
     first[bounds] = True
@@ -92,19 +94,80 @@ def text_sets(texts, words):
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_CHARS[_LOWER[raw]] * up[:-1], out=sums[1:])
     hashes = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    of_text = np.searchsorted(starts, bounds)
+    return hashes, np.searchsorted(starts, bounds)
+
+
+def _shingles(hashes, words):
     shingles = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for i in range(words):
         shingles = _mixed(shingles + hashes[i : i + len(shingles)]) + np.uint64(i)
-    for i, (lo, hi) in enumerate(zip(of_text, of_text[1:])):
+    return shingles
+
+
+def _whole_sequence(hashes):
+    whole = np.uint64(len(hashes))
+    for h in hashes:
+        whole = _mixed(np.array([whole], np.uint64) + h)[0]
+    return np.array([whole], np.uint64)
+
+
+def _long_set(text, words):
+    """The set of a text longer than a segment, which is cut at white space. Each
+    segment's shingles begin in the last words of the one before."""
+    found, before, start = [], np.zeros(0, np.uint64), 0
+    raw = np.frombuffer(text, np.uint8)
+    while start < len(raw):
+        stop = min(len(raw), start + SEGMENT)
+        while stop < len(raw):
+            blank = np.flatnonzero(_WHITE[raw[stop : stop + SEGMENT]])
+            if len(blank):
+                stop += int(blank[0])
+                break
+            stop = min(len(raw), stop + SEGMENT)  # a word without end
+        part = raw[start:stop]
+        hashes = np.concatenate([before, _word_hashes(part, np.array([0, len(part)]))[0]])
+        if len(hashes) >= words:
+            found.append(np.unique(_shingles(hashes, words)))
+        before = hashes[max(0, len(hashes) - words + 1) :]
+        start = stop
+    if found:
+        return np.unique(np.concatenate(found))
+    return _whole_sequence(before) if len(before) else before
+
+
+def text_sets(texts, words):
+    """Sorted distinct shingle numbers of each text, given as bytes.
+
+    Texts with fewer words than a shingle have their whole sequence as one. Joined texts
+    and their arrays are of a segment's size; longer texts are worked on in segments.
+    """
+    sets = [np.zeros(0, np.uint64)] * len(texts)
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        if len(text) > SEGMENT:
+            sets[i] = _long_set(text, words)
+            continue
+        held.append(i)
+        size += len(text)
+        if size >= SEGMENT:
+            _short_sets(texts, held, words, sets)
+            held, size = [], 0
+    _short_sets(texts, held, words, sets)
+    return sets
+
+
+def _short_sets(texts, places, words, sets):
+    bounds = np.concatenate([[0], np.cumsum([len(texts[i]) for i in places])]).astype(np.int64)
+    raw = np.frombuffer(b"".join([texts[i] for i in places]), np.uint8)
+    if not len(raw):
+        return
+    hashes, of_text = _word_hashes(raw, bounds)
+    shingles = _shingles(hashes, words)
+    for i, lo, hi in zip(places, of_text, of_text[1:]):
         if hi - lo >= words:
             sets[i] = np.unique(shingles[lo : hi - words + 1])
         elif hi > lo:
-            whole = np.uint64(hi - lo)
-            for h in hashes[lo:hi]:
-                whole = _mixed(np.array([whole + h]))[0]
-            sets[i] = np.array([whole], np.uint64)
-    return sets
+            sets[i] = _whole_sequence(hashes[lo:hi])
 
 
 def prefix_length(n, settings):
@@ -173,10 +236,6 @@ def part_keys(tokens, settings):
     return np.concatenate(keys)
 
 
-def _bytes_of(column):
-    return [(v or "").encode("utf-8", "surrogatepass") for v in column.to_pylist()]
-
-
 def _signed(x):
     return x.view(np.int64)
 
@@ -187,14 +246,21 @@ def _lists(arrays, kind):
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_signed(values), kind))
 
 
-def _of_sets(df, settings, make, schema, chunk=256):
-    """Rows that ``make(ids, sets)`` gives for each chunk of rows ``(id, text)``."""
+def _of_sets(df, settings, make, schema, size=SEGMENT):
+    """Rows that ``make(ids, sets)`` gives for chunks of rows ``(id, text)`` of about
+    ``size`` bytes of text."""
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                part = batch.slice(at, chunk)
-                yield make(part.column(0), text_sets(_bytes_of(part.column(1)), settings.words))
+            at, texts, held = 0, [], 0
+            for row, value in enumerate(batch.column(1)):
+                texts.append((value.as_py() or "").encode("utf-8", "surrogatepass"))
+                held += len(texts[-1])
+                if held >= size or row + 1 == batch.num_rows:
+                    sets = text_sets(texts, settings.words)
+                    texts = []
+                    yield make(batch.column(0).slice(at, row + 1 - at), sets)
+                    at, held = row + 1, 0
 
     return df.select("id", "text").mapInArrow(run, schema)
 
@@ -227,7 +293,7 @@ def _frequent(df, settings):
         columns = [pa.array(_signed(tokens)), pa.array(n.astype(np.int64))]
         return pa.RecordBatch.from_arrays(columns, ["key", "n"])
 
-    counted = _of_sets(df, settings, count, "key long, n long", 2000)
+    counted = _of_sets(df, settings, count, "key long, n long", 4 * SEGMENT)
     counted = counted.groupBy("key").agg(F.sum("n").alias("n"))
     return filter_of(counted.where(F.col("n") > settings.short_list), "key", FREQUENT_BITS)
 
@@ -255,6 +321,39 @@ def _prefixes(df, frequent, settings):
     return _of_sets(df, settings, cut, "key long, id long, n long")
 
 
+def _ordered_lists(texts, settings):
+    """(key, id, n) of the prefix tokens of all sets, with frequent tokens last.
+
+    Which tokens are frequent shows in the lists themselves: a token of a long list joins
+    the filter, and the sets that hold one in their prefix are ordered anew, which brings
+    other tokens to the front. Sets without one keep their prefix under the new order, so
+    only the others are made again. Few rounds are needed, as each moves all long lists at
+    once; what is long after them goes the other way.
+    """
+    spark = texts.sparkSession
+    frequent = _frequent(texts, settings)
+    first = stage(_prefixes(texts, frequent, settings), "prefixes")
+    lists, moved = first, None
+    for _ in range(settings.rounds):
+        counts = lists.groupBy("key").agg(F.count("*").alias("n"))
+        long = filter_of(counts.where(F.col("n") > settings.short_list), "key", FREQUENT_BITS)
+        fresh = long & ~frequent
+        if not fresh.any():
+            break
+        frequent = frequent | fresh
+        # By the bits of the filter: a token that shares one moves as well.
+        bits = np.flatnonzero(np.unpackbits(fresh.view(np.uint8), bitorder="little")).astype(np.int64)
+        bits = spark.createDataFrame(pa.table({"bit": bits}))
+        crowded = lists.select("id", F.pmod("key", F.lit(FREQUENT_BITS)).alias("bit")).join(bits, "bit", "left_semi")
+        crowded = crowded.select("id")
+        moved = stage((crowded if moved is None else crowded.union(moved)).distinct(), "reordered")
+        _, again = split(texts, moved, "id")
+        again = _prefixes(again, frequent, settings).join(moved, "id", "left_semi")
+        again = stage(again.select("key", "id", "n"), "reordered-prefixes")
+        lists = first.join(moved, "id", "left_anti").select("key", "id", "n").unionByName(again)
+    return lists
+
+
 def _whole_sets(df, ids, settings):
     """(id, set) of the rows whose id is in ``ids``, made anew from the texts.
 
@@ -327,7 +426,7 @@ def _split(lists, settings):
     """
     counts = lists.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     counts = stage(counts, "list-sizes")
-    _, several = split(lists, counts, "key", bits=1 << 25)
+    _, several = split(lists, counts, "key", bits=1 << 24)
     counted = stage(several.join(counts, "key"), "counted-lists")
     is_short = F.col("rows") <= settings.short_list
     return counted.where(is_short).drop("rows"), counted.where(~is_short).drop("rows")
@@ -400,10 +499,9 @@ def similarity_links(df, settings=Settings()):
     )
     heads = stage(heads, "heads")
     texts = df.select("id", "text").where("id is not null")
-    frequent = _frequent(texts, settings)
-    _, headed = split(texts, heads.select(F.col("head").alias("id")), "id", bits=1 << 25)
+    _, headed = split(texts, heads.select(F.col("head").alias("id")), "id")
     # The filter lets a few copies of a head through; their sets add nothing new.
-    short, long = _split(_prefixes(headed, frequent, settings), settings)
+    short, long = _split(_ordered_lists(headed, settings), settings)
     # Two sets that share a token of a long list go the other way.
     candidates = stage(_matched(_short_pairs(short, settings), settings), "candidates")
     crowded = stage(long.select("id").distinct(), "crowded")

@@ -106,3 +106,38 @@ def test_query_against_all_pairs(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in mo.op4_multi_order_join(spark, sf).collect()}
     assert got == brute(rows)
     assert any(i != c for i, (_, c) in got.items())
+
+
+def test_texts_that_share_a_passage_need_few_rounds(spark):
+    """1,500 texts share 35 of 50 words, none of them is similar to another but a few."""
+    rng = random.Random(11)
+    shared = [f"s{i}" for i in range(35)]
+    rows = [(i, " ".join(shared + [f"w{rng.randrange(10**7)}" for _ in range(15)])) for i in range(1500)]
+    rows += [(5000 + i, rows[i][1] + " more") for i in range(0, 40, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = result(df)
+    linked = {i: c for i, (_, c) in found.items() if i != c}
+    assert linked == {5000 + i: i for i in range(0, 40, 2)}
+
+
+def test_long_texts_in_segments(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(n)).encode() for n in (0, 2, 3, 40, 900)]
+    texts += [b"x" * 500, b"a " * 300, b"  ", b"one two three " + b"y" * 200 + b" four"]
+    for words in (1, 4, 5):
+        whole = mo.text_sets(texts, words)
+        with monkeypatch.context() as patch:
+            patch.setattr(mo, "SEGMENT", 64)
+            parts = mo.text_sets(texts, words)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, parts))
+
+
+def test_long_texts_take_little_memory():
+    import resource
+
+    long = (b"word%d and others " * 100_000) % tuple(range(100_000)) * 16  # 30 MB
+    many = [b"some words of a text " * 120] * 10_000
+    for texts in ([long], many):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        mo.text_sets(texts, 5)
+        assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
