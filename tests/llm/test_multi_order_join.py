@@ -141,3 +141,35 @@ def test_long_texts_take_little_memory():
         before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
         mo.text_sets(texts, 5)
         assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+
+
+def test_rounds_of_long_lists_are_few(spark, monkeypatch):
+    """160 texts in one list of which few are linked: not one round for each of them."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    base = [word() for _ in range(60)]
+    rows = []
+    for i in range(160):
+        text = list(base)
+        for at in rng.sample(range(60), rng.choice([1, 2, 3, 4])):
+            text[at] = word()
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    names, stage = [], mo.stage
+    monkeypatch.setattr(mo, "stage", lambda df, name, **options: names.append(name) or stage(df, name, **options))
+    assert result(df, mo.Settings(short_list=2, rounds=1)) == brute(rows)
+    assert 1 <= names.count("stars") <= 6
+
+
+def test_members_of_two_heads_still_meet(spark, monkeypatch):
+    """Chains whose links join members that belong to different heads."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    rows, text = [], [word() for _ in range(90)]
+    for i in range(120):
+        text = list(text)
+        text[rng.randrange(90)] = word()
+        rows.append((rng.randrange(10**6), " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(mo, "FIRST_HEADS", 8)
+    assert result(df, mo.Settings(short_list=2, rounds=1)) == brute(rows)
