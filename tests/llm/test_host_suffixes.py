@@ -1,5 +1,7 @@
 import html as escapes
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -123,3 +125,86 @@ def test_many_elements_without_an_end():
     assert hs.split_page(page)[0] == "\n".join(["x"] * 20_000)
     deep = "<article>" + "<div>x</b></p>" * 20_000
     assert hs.split_page(deep)[0] == "\n".join(["x"] * 20_000)
+
+
+def words(i, part, n=20):
+    return " ".join(f"w{i}{part}{k}" for k in range(n))
+
+
+NEWS = "Sign up for our letter and get the best stories every day"
+
+
+def test_a_template_inside_articles_goes(spark):
+    rows = [
+        (i, "http://a.org/x", f"<article><p>{words(i, 'a')}</p><p>{NEWS}</p><p>{words(i, 'b')}</p><p>Share this</p></article>")
+        for i in range(5)
+    ]
+    rows += [(5, "http://a.org/y", f"<nav>Home</nav><p>{words(5, 'a')} {NEWS}</p><p>{NEWS}</p>")]
+    rows += [(6, "http://a.org/z", f"<article><p>{words(6, 'a')}</p></article>")] * 20
+    rows += [(7, "http://b.org/z", f"<article><p>{words(7, 'a')}</p><p>{NEWS}</p></article>")]
+    texts = run(spark, rows)
+    for i in range(5):
+        assert texts[i] == f"{words(i, 'a')}\n{words(i, 'b')}"
+    assert texts[5] == f"{words(5, 'a')} {NEWS}"
+    assert texts[6] == words(6, "a")
+    assert texts[7] == f"{words(7, 'a')}\n{NEWS}"
+
+
+def test_keys_of_streams_together():
+    streams = [[words(1, "a"), "Share this"], [], ["Share this", words(1, "a", 8)], ["one"], [words(1, "a")]]
+    together = [list(keys) for keys in hs.suffix_keys(streams)]
+    assert together == [list(hs.suffix_keys([stream])[0]) for stream in streams]
+    assert [len(keys) for keys in together] == [16, 0, 4, 1, 13]
+    assert together[0][0] == together[2][2] == together[4][0] and together[0][15] == together[2][3]
+    assert hs.suffix_keys([]) == []
+
+
+def test_article_text_on_some_pages_stays(spark):
+    page = lambda i, more: f"<article><p>{words(i, 'a')}</p>{more}</article>"
+    some = [(i, "http://a.org/x", page(i, f"<p>{NEWS}</p>" if i % 2 else "")) for i in range(10)]
+    few = [(i, "http://b.org/x", page(i, f"<p>{NEWS}</p>")) for i in range(20, 23)]
+    versions = [(i, "http://c.org/x", f"<article><p>Day {i}</p><p>{words('v', 'a')}</p></article>") for i in range(30, 40)]
+    texts = run(spark, [*some, *few, *versions])
+    for i in (1, 3, 5, 7, 9, 20, 21, 22):
+        assert texts[i] == f"{words(i, 'a')}\n{NEWS}"
+    for i in range(30, 40):
+        assert texts[i] == f"Day {i}\n{words('v', 'a')}"
+
+
+def test_templates_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(hs, "SLICE", 60)
+    rng = random.Random(5)
+    lines = [words("t", k, rng.choice((3, 7, 8, 9, 15))) for k in "abcdefgh"]
+    rows = []
+    for i in range(160):
+        held = [line for k, line in enumerate(lines) if rng.random() < 0.2 + 0.09 * k]
+        held = rng.sample([*held, words(i, "p", 70), words(i, "q", 9)], len(held) + 2)
+        rows.append((i, f"http://{rng.choice('abbbccccccc')}.org/", "<article>" + "".join(f"<p>{b}" for b in held)))
+    rows += [rows[rng.randrange(20)] for _ in range(90)]
+    rng.shuffle(rows)
+    streams = {(url, tuple(hs.split_page(page)[2])) for _, url, page in rows}
+    hosts = {host: [s for url, s in streams if url == host] for host, _ in streams}
+
+    def grams(stream):
+        tokens = " ".join(stream).split()
+        return {" ".join(tokens[k : k + 8]) for k in range(len(tokens) - 7)} | {(b,) for b in stream if len(b.split()) < 8}
+
+    on = {host: Counter(g for s in pages for g in grams(s)) for host, pages in hosts.items()}
+
+    def template(host, stream, n):
+        frequent = lambda g: on[host][g] >= 4 and 2 * on[host][g] > len(hosts[host])
+        tokens, start = " ".join(stream).split(), len(" ".join(stream[:n]).split())
+        places = range(start, start + len(stream[n].split()))
+        at = [k for k in range(len(tokens) - 7) if frequent(" ".join(tokens[k : k + 8]))]
+        return frequent((stream[n],)) or all(any(k <= p < k + 8 for k in at) for p in places)
+
+    got, changed = run(spark, rows), 0
+    for i, host, page in rows:
+        stream = hs.split_page(page)[2]
+        out = [template(host, stream, n) for n in range(len(stream))]
+        sizes = [len(b.split()) for b in stream]
+        if 2 * sum(n for n, gone in zip(sizes, out) if gone) > sum(sizes):
+            out = [False] * len(stream)
+        changed += any(out)
+        assert got[i] == "\n".join(b for b, gone in zip(stream, out) if not gone)
+    assert changed > 50
